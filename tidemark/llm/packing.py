@@ -341,14 +341,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     own = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
     ranked = salted.withColumn("rank", F.row_number().over(own).cast("long")).join(per_salt.drop("n"), ["length", "salt"]).withColumn("rank", F.col("rank") + F.col("skip") - 1).drop("skip", "salt").select(*pieces.columns, "rank")
 
+    names = pieces.columns
+
     def run(batches):
         import pyarrow as pa
 
         for part in batches:
             if part.num_rows:
                 sequence, offset = place(part.column("length").to_numpy(), part.column("rank").to_numpy(), table.value)
-                columns = [part.column(c) for c in pieces.columns] + [pa.array(sequence), pa.array(offset)]
-                yield pa.record_batch(columns, names=[*pieces.columns, "sequence_id", "offset"])
+                columns = [part.column(c) for c in names] + [pa.array(sequence), pa.array(offset)]
+                yield pa.record_batch(columns, names=[*names, "sequence_id", "offset"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema.fields)
     return ranked.mapInArrow(run, f"{schema}, sequence_id long, offset long")
