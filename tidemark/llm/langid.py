@@ -166,30 +166,31 @@ def learn(docs: DataFrame, where: Column | None = None, text: str = "text", lang
     return {r["lang"]: r["sums"] for r in whole.orderBy("lang").collect()}
 
 
-def classify(docs: DataFrame, prototypes: dict[str, list[int]], text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (the cosine, not below 0)."""
-    names = sorted(prototypes)
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    model = docs.sparkSession.sparkContext.broadcast((names, [prototypes[n] for n in names]))  # a vector per language
+def classify(docs: DataFrame, prototypes: dict[str, list[int]], text: str = "text", keep: list[str] | None = None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns ``keep`` (all, by default) of ``docs``, the language and its cosine (not below 0)."""
+    langs = sorted(prototypes)
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    reads = f"_{kept.index(text)}" if text in kept else "_text"  # a kept text isn't sent twice
+    model = docs.sparkSession.sparkContext.broadcast((langs, [prototypes[n] for n in langs]))  # a vector per language
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        names, sums = model.value
-        protos = np.array(sums, dtype=np.float64).reshape(len(names), DIMENSIONS)
-        protos /= np.maximum(np.linalg.norm(protos, axis=1, keepdims=True), 1e-12)
+        langs, sums = model.value
+        protos = np.array(sums, dtype=np.float64).reshape(len(langs), DIMENSIONS)
+        protos = (protos / np.maximum(np.linalg.norm(protos, axis=1, keepdims=True), 1e-12)).T.astype(np.float32)
         for part in slices(batches):
-            bundles, counts = bundle(part.column("_text").to_pylist())
+            bundles, counts = bundle([t or "" for t in part.column(reads).to_pylist()])
             best, score, some = np.zeros(part.num_rows, dtype=int), np.zeros(part.num_rows), counts > 0
-            if names and part.num_rows:
-                cosines = (bundles @ protos.T.astype(np.float32)) / np.maximum(np.linalg.norm(bundles, axis=1, keepdims=True), 1e-12)
+            if langs and part.num_rows:
+                cosines = (bundles @ protos) / np.maximum(np.linalg.norm(bundles, axis=1, keepdims=True), 1e-12)
                 best, score = cosines.argmax(axis=1), np.clip(cosines.max(axis=1), 0.0, 1.0)
-            langs = [names[b] if ok and names else "und" for b, ok in zip(best, some, strict=True)]
-            columns = [part.column(f"_{i}") for i in range(len(kept))] + [pa.array(langs, pa.string()), pa.array(np.where(some, score, 0.0).astype(np.float64))]
-            yield pa.record_batch(columns, names=[*(f"_{i}" for i in range(len(kept))), "lang_pred", "score"])
-
-    rows = docs.select(*[docs[c].alias(f"_{i}") for i, c in enumerate(kept)], text_or_empty(text).alias("_text"))
-    kinds = ", ".join(f"_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(kept))
-    out = rows.mapInArrow(run, f"{kinds}, lang_pred string, score double")
-    return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(kept)], "lang_pred", "score")
+            found = [langs[b] if ok and langs else "und" for b, ok in zip(best, some, strict=True)]
+            values = [pa.array(found, pa.string()), pa.array(np.where(some, score, 0.0).astype(np.float64))]
+            yield pa.record_batch([*(part.column(f"_{i}") for i in range(len(kept))), *values], names=[*(f"_{i}" for i in range(len(kept))), "lang", "score"])
+
+    rows = docs.select(*[docs[c].alias(f"_{i}") for i, c in enumerate(kept)], *([] if text in kept else [text_or_empty(text).alias("_text")]))
+    kinds = "".join(f"_{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(kept))
+    out = rows.mapInArrow(run, f"{kinds}lang string, score double")
+    return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(kept)], F.col("lang").alias(names[0]), F.col("score").alias(names[1]))

@@ -98,6 +98,22 @@ def mix_report(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sour
     )
 
 
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", seed: int = 0, **options) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it."""
+    queue, copies = _mix(docs, id_col, text, source, seed, **{"share": 1.0, "weights": WEIGHTS, "most": MOST_ROUNDS} | options)
+    taken = queue.join(copies.groupBy("row_key").agg(F.count("*").alias("_copies")), "row_key").groupBy(F.col(id_col).alias("_id"), F.col("content").alias("_content"))
+    taken = cut_lineage(taken.agg(F.sum("_copies").alias("_copies"), F.count("*").alias("_rows")))
+    rows = docs
+    if taken.where("_rows > 1").limit(1).count():  # rows alike in id, text and source: one of them stands for all
+        rows = docs.withColumns({"_i": docs[id_col], "_c": _content(text, source)}).dropDuplicates(["_i", "_c"]).drop("_i", "_c")
+    rows = rows.join(taken, rows[id_col].eqNullSafe(taken["_id"]) & (_content(text, source) == taken["_content"]))
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*[docs[c] for c in docs.columns])
+
+
+def _content(text: str, source: str) -> Column:
+    return F.xxhash64(F.col(text), F.col(source))
+
+
 def in_mix_order(copies: DataFrame) -> DataFrame:
     """``copies`` range-partitioned and sorted by virtual finish time."""
     keys = ["finish", "row_key", "round"]
@@ -106,7 +122,7 @@ def in_mix_order(copies: DataFrame) -> DataFrame:
 
 def _mix(docs, id_col, text, source, seed, share, weights, most):
     sizes = docs.select(
-        F.col(id_col).alias("id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.xxhash64(F.col(id_col), F.lit(seed)).alias("shuffled"), F.xxhash64(F.col(text), F.col(source)).alias("content")
+        F.col(id_col).alias("id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.xxhash64(F.col(id_col), F.lit(seed)).alias("shuffled"), _content(text, source).alias("content")
     )
     sizes = cut_lineage(sizes)
     targets = source_targets(sizes, share, weights, most)
@@ -125,7 +141,7 @@ def _mix(docs, id_col, text, source, seed, share, weights, most):
     queue = queue.join(starts, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket")))
     queue = cut_lineage(
         queue.select(
-            F.col("id").alias(id_col), F.col("source").alias(source), "size", "source_size", "target", (F.col("start") + F.col("upto")).alias("served"),
+            F.col("id").alias(id_col), F.col("source").alias(source), "content", "size", "source_size", "target", (F.col("start") + F.col("upto")).alias("served"),
             F.concat_ws("-", F.coalesce(F.xxhash64("source"), F.lit(0)), "bucket", "place").alias("row_key"),
         )
     )

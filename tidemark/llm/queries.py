@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, mixing, packing, token_counts, url_filter
+from tidemark.llm import ann, chat_format, langid, lz_fingerprint, minhash, mixing, packing, token_counts, toxicity, url_filter
+from tidemark.llm.common import held_out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,14 +39,30 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), capacity=4096, end_id=1)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels, where=~held_out("doc_id", 3, 1))
+    return toxicity.score(docs.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "text"), model, keep=["doc_id", "held_out"])
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    prototypes = langid.learn(docs, where=~held_out("doc_id", 5, 0))
+    return langid.classify(docs.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "text"), prototypes, keep=["doc_id", "held_out"])
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), limit=4096)
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(table(spark, sf_dir, "documents"))
+
+
 #: Rules of the contract: host, path, verdict.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
@@ -55,7 +72,15 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_best_fit_packing, op4_mix_sources, op6_token_counts, op8_url_filter)}
+def op9_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lz_fingerprint.edit_likeness(table(spark, sf_dir, "documents"))
+
+
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_best_fit_packing, op3_toxicity, op4_mix_sources, op5_language_id, op6_token_counts, op7_near_duplicates, op8_url_filter, op9_lz_fingerprint, op10_nearest_neighbours)}
 
 _MARKS = ["<|turn|>", "<|sep|>", "<|end|>", "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
 
