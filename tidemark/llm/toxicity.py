@@ -10,8 +10,8 @@ the learned documents, so that a threshold on it means a probability.
 
 Labels belong to whole documents, of which most text is ordinary even if the
 label is 1. The toxic dictionary is therefore fitted on the passages that tell
-the classes apart: words whose document frequency among toxic documents is many
-times that among ordinary ones.
+the classes apart: the parts of words whose byte n-grams are in toxic documents
+many times as often as in ordinary ones.
 
 Fitting uses a bounded sample (``SAMPLE_DOCS`` labelled documents per class, by
 hash of the id); document frequencies are counted by Spark, and only words of
@@ -38,7 +38,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, text_or_empty
+from tidemark.llm.common import cut_lineage, slices, text_or_empty
 
 #: Labelled documents of each class that fitting reads, at most.
 SAMPLE_DOCS = 3000
@@ -46,11 +46,13 @@ SAMPLE_DOCS = 3000
 SAMPLE_WINDOWS, DICTIONARY_BYTES = 20_000, 8192
 #: Width of a coarse window in bytes.
 WINDOW = 64
-#: A word is a toxic passage if it is in so many toxic documents, and so many times as frequent there.
-LEAST_DOCS, LEAST_RATIO = 3, 30.0
-#: Words in the toxic dictionary, at most.
-MOST_WORDS = 2000
+#: Bytes of the n-grams that tell toxic passages: those in at least so many toxic documents, and so many times as frequent there.
+GRAM, LEAST_DOCS, LEAST_RATIO = 5, 3, 30.0
+#: Telling n-grams, and passages in the toxic dictionary, at most.
+MOST_GRAMS, MOST_WORDS = 20_000, 2000
 LEVEL = 6
+#: Bytes by which coarse windows overlap, and of the text behind a fine window.
+TAIL = 16
 THRESHOLD = 0.7
 #: Remembered words per Python process; the cache starts anew beyond it.
 CACHE_ENTRIES = 200_000
@@ -90,6 +92,8 @@ class Distance:
             return zstandard.ZstdCompressor(level=LEVEL, dict_data=content, write_content_size=False, write_dict_id=False)
 
         self.ordinary, self.toxic = compressor(model.ordinary), compressor(model.toxic + model.ordinary)
+        # zstandard looks for no match in the last bytes of its input: behind a word goes text that both dictionaries hold
+        self.carrier = model.ordinary[-TAIL:]
         self.words: dict[bytes, int] = {}
 
     def saved(self, data: bytes, starts, lengths):
@@ -99,7 +103,8 @@ class Distance:
 
         if not len(starts):
             return np.zeros(0, dtype=np.int64)
-        segments = zstandard.BufferWithSegments(data, np.stack([starts, lengths], axis=1).astype(np.uint64).tobytes())
+        reach = np.minimum(lengths + np.uint64(TAIL), np.uint64(len(data)) - starts)
+        segments = zstandard.BufferWithSegments(data, np.stack([starts, reach], axis=1).astype(np.uint64).tobytes())
         a = self.ordinary.multi_compress_to_buffer(segments, threads=0)
         b = self.toxic.multi_compress_to_buffer(segments, threads=0)
         return np.fromiter((len(x) - len(y) for x, y in zip(a, b, strict=True)), dtype=np.int64, count=len(starts))
@@ -108,13 +113,13 @@ class Distance:
         if word not in self.words:
             if len(self.words) >= CACHE_ENTRIES:
                 self.words.clear()
-            padded = b" " + word + b" "
+            padded = b" " + word + b" " + self.carrier
             self.words[word] = len(self.ordinary.compress(padded)) - len(self.toxic.compress(padded))
         return self.words[word]
 
     def features(self, text: str) -> list[float]:
         """Largest saving on a word, words that save 2 bytes and more in all and per thousand, largest saving on a window."""
-        data = text.lower().encode()
+        data = text.lower().encode() + b" " + self.carrier
         starts, lengths = windows(data)
         saved = self.saved(data, starts, lengths)
         hits = [self.saved_on(w) for i in (saved > 0).nonzero()[0] for w in data[int(starts[i]) : int(starts[i] + lengths[i])].split()]
@@ -122,6 +127,18 @@ class Distance:
         return [1.0, float(min(max(hits, default=0), 12)), math.log1p(sum(many)), math.log1p(1000.0 * sum(many) / (len(data) + 500)), float(min(saved.max(initial=0), 12))]
 
 
+def _grams(word: bytes) -> set[bytes]:
+    padded = b" " + word + b" "
+    return {padded[i : i + GRAM] for i in range(len(padded) - GRAM + 1)}
+
+
+def _passage(word: bytes, telling) -> bytes:
+    """From the first to the last telling n-gram of a word; empty if it has none."""
+    padded = b" " + word + b" "
+    at = [i for i in range(len(padded) - GRAM + 1) if padded[i : i + GRAM] in telling]
+    return padded[at[0] : at[-1] + GRAM] if at else b""
+
+
 def _logistic(x, y):
     import numpy as np
 
@@ -158,8 +175,39 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
     words = learned.select("y", "text").distinct().select("y", F.explode(F.array_distinct(F.split("text", r"[\x00-\x20]+"))).alias("word")).where("word <> ''")
     by_word = words.groupBy("word").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
     n1, n0 = min(sizes[1], SAMPLE_DOCS), min(sizes[0], SAMPLE_DOCS)
-    telling = by_word.where((F.col("a") >= LEAST_DOCS) & (F.col("a") / n1 > LEAST_RATIO * (F.col("b") + 0.5) / n0))
-    telling = [r["word"].encode() for r in telling.orderBy(F.desc("a"), "word").limit(MOST_WORDS).select("word").collect()]
+    by_word = cut_lineage(by_word)
+
+    def gram_counts(batches):
+        from collections import Counter
+
+        import pyarrow as pa
+
+        toxic, plain = Counter(), Counter()
+        for part in slices(batches, 4096):
+            for w, a, b in zip(part.column("word").to_pylist(), part.column("a").to_pylist(), part.column("b").to_pylist(), strict=True):
+                for g in _grams(w.encode()):
+                    toxic[g] += a
+                    plain[g] += b
+        keys = [g for g, a in toxic.items() if a]
+        yield pa.record_batch([pa.array(keys, pa.binary()), pa.array([toxic[g] for g in keys], pa.int64()), pa.array([plain[g] for g in keys], pa.int64())], names=["gram", "a", "b"])
+        keys = [g for g, a in toxic.items() if not a]
+        yield pa.record_batch([pa.array(keys, pa.binary()), pa.array([0] * len(keys), pa.int64()), pa.array([plain[g] for g in keys], pa.int64())], names=["gram", "a", "b"])
+
+    by_gram = by_word.mapInArrow(gram_counts, "gram binary, a long, b long").groupBy("gram").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    telling = by_gram.where((F.col("a") >= LEAST_DOCS) & (F.col("a") / n1 > LEAST_RATIO * (F.col("b") + 0.5) / n0)).orderBy(F.desc("a"), "gram").limit(MOST_GRAMS)
+    telling = frozenset(bytes(r["gram"]) for r in telling.select("gram").collect())
+    shared = docs.sparkSession.sparkContext.broadcast(telling)
+
+    def passages(batches):
+        import pyarrow as pa
+
+        for part in slices(batches, 4096):
+            out = [(_passage(w.encode(), shared.value), a) for w, a in zip(part.column("word").to_pylist(), part.column("a").to_pylist(), strict=True)]
+            out = [x for x in out if x[0]]
+            yield pa.record_batch([pa.array([p for p, _ in out], pa.binary()), pa.array([a for _, a in out], pa.int64())], names=["passage", "a"])
+
+    found = by_word.where("a > 0").mapInArrow(passages, "passage binary, a long").groupBy("passage").agg(F.sum("a").alias("a"))
+    found = [bytes(r["passage"]) for r in found.orderBy(F.desc("a"), "passage").limit(MOST_WORDS).select("passage").collect()]
 
     def some_windows(batches):
         import zlib
@@ -180,7 +228,7 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
     except zstandard.ZstdError:  # too few samples to train on: they are the dictionary
         content = b" ".join(ordinary)[-DICTIONARY_BYTES:]
     # the frequent ones last: nearer to the window, so cheaper to refer to
-    model = Model(ordinary=content, toxic=b"".join(b" " + w + b" " for w in reversed(telling)))
+    model = Model(ordinary=content, toxic=b"".join(reversed(found)))
 
     rows = score_features(learned, model, "text", ["y"]).select("y", "features").collect()
     x, y = np.array([r["features"] for r in rows], dtype=np.float64), np.array([r["y"] for r in rows], dtype=np.float64)
