@@ -48,9 +48,13 @@ SAMPLE_WINDOWS, DICTIONARY_BYTES = 20_000, 8192
 WINDOW = 64
 #: Bytes of the n-grams that tell toxic passages: those in at least so many toxic documents, and so many times as frequent there.
 GRAM, LEAST_DOCS, LEAST_RATIO = 5, 3, 30.0
+#: The same for whole words, whose n-grams may all be ordinary.
+LEAST_WORD_DOCS = 3
+#: A word is a hit if it saves at least so many bytes and costs no more than the toxic passages themselves do (their median).
+HIT_BYTES = 2
 #: Telling n-grams, and passages in the toxic dictionary, at most.
 MOST_GRAMS, MOST_WORDS = 20_000, 2000
-LEVEL = 6
+LEVEL = 9
 #: Bytes by which coarse windows overlap, and of the text behind a fine window.
 TAIL = 16
 THRESHOLD = 0.7
@@ -62,6 +66,7 @@ CACHE_ENTRIES = 200_000
 class Model:
     ordinary: bytes = b""
     toxic: bytes = b""
+    hit_cost: int = 0
     weights: list[float] = field(default_factory=list)
     base: float = 0.0
 
@@ -94,8 +99,14 @@ class Distance:
         self.ordinary, self.toxic = compressor(model.ordinary), compressor(model.toxic + model.ordinary)
         # zstandard looks for no match in the last bytes of its input: behind a word goes text that both dictionaries hold
         self.carrier = model.ordinary[-TAIL:]
+        self.empty = len(self.ordinary.compress(self.carrier))
+        self.hit_cost = model.hit_cost
         self.words: dict[bytes, int] = {}
 
+    def cost(self, word: bytes) -> int:
+        """Bytes that a word takes beside the toxic dictionary."""
+        return len(self.toxic.compress(b" " + word + b" " + self.carrier)) - self.empty
+
     def saved(self, data: bytes, starts, lengths):
         """Bytes that the toxic dictionary saves on each window."""
         import numpy as np
@@ -110,21 +121,23 @@ class Distance:
         return np.fromiter((len(x) - len(y) for x, y in zip(a, b, strict=True)), dtype=np.int64, count=len(starts))
 
     def saved_on(self, word: bytes) -> int:
+        """Bytes saved on a word if it is a hit, else 0."""
         if word not in self.words:
             if len(self.words) >= CACHE_ENTRIES:
                 self.words.clear()
             padded = b" " + word + b" " + self.carrier
-            self.words[word] = len(self.ordinary.compress(padded)) - len(self.toxic.compress(padded))
+            a, b = len(self.ordinary.compress(padded)) - self.empty, self.cost(word)
+            self.words[word] = a - b if a - b >= HIT_BYTES and b <= self.hit_cost else 0
         return self.words[word]
 
     def features(self, text: str) -> list[float]:
-        """Largest saving on a word, words that save 2 bytes and more in all and per thousand, largest saving on a window."""
+        """1 and, over the words that are hits: the largest saving, all savings, savings by length."""
         data = text.lower().encode() + b" " + self.carrier
         starts, lengths = windows(data)
         saved = self.saved(data, starts, lengths)
         hits = [self.saved_on(w) for i in (saved > 0).nonzero()[0] for w in data[int(starts[i]) : int(starts[i] + lengths[i])].split()]
-        many = [h for h in hits if h >= 2]
-        return [1.0, float(min(max(hits, default=0), 12)), math.log1p(sum(many)), math.log1p(1000.0 * sum(many) / (len(data) + 500)), float(min(saved.max(initial=0), 12))]
+        total = sum(hits)
+        return [1.0, float(min(max(hits, default=0), 12)), math.log1p(total), math.log1p(1000.0 * total / (len(data) + 500))]
 
 
 def _grams(word: bytes) -> set[bytes]:
@@ -171,10 +184,13 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
         sample = some if sample is None else sample.unionByName(some)
     learned = docs.select(F.col(id_col).alias("id"), F.lower(text_or_empty(text)).alias("text")).join(F.broadcast(sample), "id")
 
-    # document frequency of words in each class, texts that repeat counting once
-    words = learned.select("y", "text").distinct().select("y", F.explode(F.array_distinct(F.split("text", r"[\x00-\x20]+"))).alias("word")).where("word <> ''")
-    by_word = words.groupBy("word").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
-    n1, n0 = min(sizes[1], SAMPLE_DOCS), min(sizes[0], SAMPLE_DOCS)
+    # document frequency of words in each class; near copies, which agree on the least or greatest hash of five words in a row, count once
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - 4, F.lit(1))), lambda i: F.xxhash64(F.slice("words", i, 5)))
+    single = learned.select("y", F.split("text", r"[\x00-\x20]+").alias("words")).withColumn("runs", runs)
+    single = single.select("y", F.array_distinct("words").alias("words"), F.array_min("runs").alias("low"), F.array_max("runs").alias("high"))
+    single = cut_lineage(single.dropDuplicates(["y", "low"]).dropDuplicates(["y", "high"]))
+    n1, n0 = (max(1, single.where(F.col("y") == y).count()) for y in (1, 0))
+    by_word = single.select("y", F.explode("words").alias("word")).where("word <> ''").groupBy("word").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
     by_word = cut_lineage(by_word)
 
     def gram_counts(batches):
@@ -194,7 +210,8 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
         yield pa.record_batch([pa.array(keys, pa.binary()), pa.array([0] * len(keys), pa.int64()), pa.array([plain[g] for g in keys], pa.int64())], names=["gram", "a", "b"])
 
     by_gram = by_word.mapInArrow(gram_counts, "gram binary, a long, b long").groupBy("gram").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    telling = by_gram.where((F.col("a") >= LEAST_DOCS) & (F.col("a") / n1 > LEAST_RATIO * (F.col("b") + 0.5) / n0)).orderBy(F.desc("a"), "gram").limit(MOST_GRAMS)
+    apart = F.col("a") / n1 > LEAST_RATIO * (F.col("b") + 0.5) / n0
+    telling = by_gram.where((F.col("a") >= LEAST_DOCS) & apart).orderBy(F.desc("a"), "gram").limit(MOST_GRAMS)
     telling = frozenset(bytes(r["gram"]) for r in telling.select("gram").collect())
     shared = docs.sparkSession.sparkContext.broadcast(telling)
 
@@ -206,7 +223,9 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
             out = [x for x in out if x[0]]
             yield pa.record_batch([pa.array([p for p, _ in out], pa.binary()), pa.array([a for _, a in out], pa.int64())], names=["passage", "a"])
 
-    found = by_word.where("a > 0").mapInArrow(passages, "passage binary, a long").groupBy("passage").agg(F.sum("a").alias("a"))
+    found = by_word.where("a > 0").mapInArrow(passages, "passage binary, a long")
+    whole = by_word.where((F.col("a") >= LEAST_WORD_DOCS) & apart).select(F.concat(F.lit(" "), "word", F.lit(" ")).cast("binary").alias("passage"), "a")
+    found = found.unionByName(whole).groupBy("passage").agg(F.sum("a").alias("a"))
     found = [bytes(r["passage"]) for r in found.orderBy(F.desc("a"), "passage").limit(MOST_WORDS).select("passage").collect()]
 
     def some_windows(batches):
@@ -230,6 +249,10 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
     # the frequent ones last: nearer to the window, so cheaper to refer to
     model = Model(ordinary=content, toxic=b"".join(reversed(found)))
 
+    if found:
+        costs = sorted(map(Distance(model).cost, (p.strip() for p in found)))
+        model.hit_cost = costs[len(costs) // 2]
+
     rows = score_features(learned, model, "text", ["y"]).select("y", "features").collect()
     x, y = np.array([r["features"] for r in rows], dtype=np.float64), np.array([r["y"] for r in rows], dtype=np.float64)
     if len(set(y.tolist())) < 2:
@@ -247,7 +270,7 @@ _distances: dict[int, Distance] = {}
 def score_features(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, name: str = "features") -> DataFrame:
     """The columns ``keep`` (all, by default) of ``docs`` and an array ``name`` of feature values."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of bounded size
-    token = hash((model.ordinary, model.toxic))
+    token = hash((model.ordinary, model.toxic, model.hit_cost))
     kept = [c for c in (docs.columns if keep is None else keep) if c != name]
     reads = f"_{kept.index(text)}" if text in kept else "_text"  # a kept text isn't sent twice
 
