@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import cut_lineage, slices, text_or_empty
 
 CAPACITY = 4096
-#: Remembered chunks per Python process; the cache starts anew beyond it.
-CACHE_ENTRIES = 250_000
+#: Chunks after which the cache starts a new generation; a Python process holds two.
+CACHE_ENTRIES = 300_000
 #: Parts into which the pieces of one length are dealt for ranking.
 SALTS = 256
 #: Steps of the search for one filling, and of all fillings together, before the incumbent stands.
@@ -61,62 +61,76 @@ _models: dict[str, object] = {}
 class Encoder:
     """Token ids of texts with a lower-casing tokenizer whose pre-tokens never span white space.
 
-    White-space-separated chunks are encoded once each and remembered; a text
-    with characters outside the plain range, or with a special token of the
-    vocabulary in it, is encoded by the library as a whole.
+    White-space-separated chunks are encoded once each and remembered, as
+    little-endian bytes, so a text is one join; a text with characters outside
+    the plain range, or with a special token of the vocabulary in it, is
+    encoded by the library as a whole. Of the cache two generations are held:
+    when the young one is full it becomes the old one, from which entries are
+    taken back as they are met.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        import numpy as np
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.ends = frozenset(i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>"))
-        self._reset()
-
-    def _reset(self):
-        self.cache: dict[str, list[int]] = {}
-        self.words: dict[str, list[int]] = {}
+        # for words that are already lower-case pre-tokens: the same merges without normalizing and splitting again
+        self.merger = Tokenizer.from_file(path)
+        self.merger.normalizer = normalizers.Sequence([])
+        self.merger.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _merge(self, words: list[str]) -> None:
+        """Merges words in few calls and tells them apart by their end marks."""
+        import numpy as np
 
-    def _merge(self, chunks: list[str]) -> None:
-        """Fills the cache: words of the chunks not met before are merged in one call and told apart by their end marks."""
-        parts = [_WORDS.findall(c) for c in chunks]
-        new = list({w for x in parts for w in x if w not in self.words})
+        lines = [" ".join(words[i : i + 100]) for i in range(0, len(words), 100)]  # short lines keep the library quick
+        ids = np.array([i for e in self.merger.encode_batch_fast(lines, add_special_tokens=False) for i in e.ids], dtype="<u4")
+        ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        data = ids.tobytes()
+        for w, start, end in zip(words, [0, *ends], ends, strict=False):
+            self.young[w] = data[start:end]
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Fills the cache with chunks that are not in its young generation."""
+        old = self.old.get
+        parts = {}
+        for c in chunks:
+            ids = old(c)
+            if ids is None:
+                parts[c] = _WORDS.findall(c)
+            else:
+                self.young[c] = ids
+        new = {w for x in parts.values() for w in x if w not in self.young}
+        for w in [w for w in new if w in self.old]:
+            self.young[w] = self.old[w]
+            new.discard(w)
         if new:
-            at = 0
-            lines = [" ".join(new[i : i + 100]) for i in range(0, len(new), 100)]  # short lines keep the library quick
-            ids = [i for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False) for i in e.ids]
-            ends = [i + 1 for i, t in enumerate(ids) if t in self.ends]
-            for w, end in zip(new, ends, strict=True):
-                self.words[w] = ids[at:end]
-                at = end
-        for c, x in zip(chunks, parts, strict=True):
-            self.cache[c] = self.words[x[0]] if len(x) == 1 else [i for w in x for i in self.words[w]]
-
-    def encode(self, texts: list[str]) -> list:
+            self._merge(list(new))
+        young = self.young
+        for c, x in parts.items():
+            if len(x) != 1 or x[0] != c:
+                young[c] = b"".join([young[w] for w in x])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
         import numpy as np
 
         plain = [bool(_PLAIN.fullmatch(t)) and not any(s in t for s in self.special) for t in texts]
-        chunks = [t.lower().split() if ok else None for t, ok in zip(texts, plain, strict=True)]
-        get = self.cache.get
-        missing = {c for x in chunks if x for c in x if get(c) is None}
+        chunks = [t.lower().split() if ok else () for t, ok in zip(texts, plain, strict=True)]
+        if len(self.young) > CACHE_ENTRIES:
+            self.old, self.young = self.young, {}
+        missing = set().union(*chunks).difference(self.young)
         if missing:
-            if len(self.cache) + len(missing) > CACHE_ENTRIES:
-                self._reset()
-                missing = {c for x in chunks if x for c in x}
-            self._merge(list(missing))
+            self._learn(missing)
         whole = [t for t, ok in zip(texts, plain, strict=True) if not ok]
         whole = iter(self.tokenizer.encode_batch_fast(whole, add_special_tokens=False) if whole else ())
-        get, out = self.cache.__getitem__, []
-        for x in chunks:
-            if x is None:
-                out.append(np.array(next(whole).ids, dtype="<u4"))
-            else:
-                flat: list[int] = []
-                for ids in map(get, x):
-                    flat += ids
-                out.append(np.array(flat, dtype="<u4"))
-        return out
+        get = self.young.__getitem__
+        return [b"".join(map(get, x)) if ok else np.array(next(whole).ids, dtype="<u4").tobytes() for x, ok in zip(chunks, plain, strict=True)]
 
 
 def encoder(path: str) -> Encoder:
@@ -136,15 +150,16 @@ def encode_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id:
         import pyarrow as pa
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        end, step = end_id.to_bytes(4, "little"), 4 * capacity
         for part in slices(batches):
             rows, arrays = [], []
             for doc, ids in zip(part.column("id").to_pylist(), encoder(path).encode(part.column("text").to_pylist()), strict=True):
-                ids = np.append(ids, np.array([end_id], dtype="<u4"))
-                for k, start in enumerate(range(0, len(ids), capacity)):
-                    piece = ids[start : start + capacity]
-                    rows.append((doc, k, start, len(piece), zlib.crc32(piece.tobytes())))
+                ids += end
+                for k, start in enumerate(range(0, len(ids), step)):
+                    piece = ids[start : start + step]
+                    rows.append((doc, k, start // 4, len(piece) // 4, zlib.crc32(piece)))
                     if with_ids:
-                        arrays.append(piece.astype(np.int32))
+                        arrays.append(np.frombuffer(piece, dtype="<u4").astype(np.int32))
             doc, k, start, length, crc = zip(*rows, strict=True) if rows else ((),) * 5
             columns = {"doc_id": pa.array(doc, pa.int64()), "piece": pa.array(k, pa.int32()), "start": pa.array(start, pa.int64()), "length": pa.array(length, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())}
             if with_ids:
