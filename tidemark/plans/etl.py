@@ -344,12 +344,12 @@ def conditions_silver(df: DataFrame) -> DataFrame:
 
 def conditions_gold(df: DataFrame) -> DataFrame:
     now, expiry = F.col("ingested_at_ts"), F.col("condition_expiry_ts")
-    return df.drop("raw_payload", "event_types", "condition").withColumns(
+    return df.withColumns(
         {
             "event_types_csv": F.array_join(F.col("event_types"), ","), "event_type_primary": F.get("event_types", F.lit(0)), "event_type_count": nested.length_or_0(F.col("event_types")),
             "condition_created_ts": F.col("created_at_ts"), "condition_created_date": F.to_date("created_at_ts"), "is_active": (expiry.isNull() | (expiry >= now)).cast("int"), "is_expired": F.coalesce(expiry < now, F.lit(False)).cast("int"),
         }
-    )
+    ).drop("raw_payload", "event_types", "condition")
 
 
 def rules_silver(df: DataFrame) -> DataFrame:
@@ -447,12 +447,12 @@ def evaluation_silver(df: DataFrame) -> DataFrame:
 
 def evaluation_gold(df: DataFrame) -> DataFrame:
     parts = [F.coalesce(c, F.lit(0)) for c in ("prcg_tm_dp_ns", "prcg_tm_ed_ns", "tadp_prcg_tm_ns")]
-    return df.drop("raw_payload", "evaluation", "report_ts").withColumns(
+    return df.withColumns(
         {
             "report_status": norm("report_status"), "tx_status": norm("tx_status"), "is_alert": F.coalesce(norm("report_status") == "ALRT", F.lit(False)).cast("int"), "event_date": F.to_date("event_ts"), "total_prcg_tm_ns": parts[0] + parts[1] + parts[2],
             "dc_to_report_ms": millis_between(F.col("dc_created_ts"), F.col("report_ts")), "event_to_ingest_ms": millis_between(F.col("event_ts"), F.col("ingested_at_ts")),
         }
-    )
+    ).drop("raw_payload", "evaluation", "report_ts")
 
 
 # ------------------------------------------------------------------ parties, comments, small tables

@@ -50,6 +50,11 @@ def r4(c: str | Column) -> Column:
     return F.round(c, 4)
 
 
+def r8(c: str | Column) -> Column:
+    """For means of amounts: at four places they could be ties, which engines round either way."""
+    return F.round(c, 8)
+
+
 # ------------------------------------------------------------------ scans, projections, filters
 
 
@@ -228,10 +233,10 @@ def join_19_latest_lookup(spark, d):
     return joins.enrich(out, people, ["o_custkey"], ["c_name"], [F.asc("c_name")]).select("o_orderkey", "c_name", "latest_line")
 
 
-@query("SELECT event_id, round(value - avg(value) OVER (PARTITION BY event_type), 4) AS above_mean, count(*) OVER (PARTITION BY event_type) AS peers FROM events")
+@query("SELECT event_id, round(value - avg(value) OVER (PARTITION BY event_type), 8) AS above_mean, count(*) OVER (PARTITION BY event_type) AS peers FROM events")
 def join_20_group_stats(spark, d):
     w = Window.partitionBy("event_type")
-    return table(spark, d, "events").select("event_id", r4(F.col("value") - F.avg("value").over(w)).alias("above_mean"), F.count("*").over(w).alias("peers"))
+    return table(spark, d, "events").select("event_id", r8(F.col("value") - F.avg("value").over(w)).alias("above_mean"), F.count("*").over(w).alias("peers"))
 
 
 # ------------------------------------------------------------------ aggregations
@@ -268,9 +273,9 @@ def agg_07_cond_distinct(spark, d):
     return table(spark, d, "events").groupBy("event_type").agg(F.count_distinct("user_id").alias("users"), aggregates.distinct_where(F.col("value") > 100, "user_id").alias("big_users"))
 
 
-@query("SELECT event_type, count(value) AS n, round(avg(value), 4) AS mean, round(stddev_samp(value), 4) AS stddev, round(sum(value), 2) AS total FROM events GROUP BY 1")
+@query("SELECT event_type, count(value) AS n, round(avg(value), 8) AS mean, round(stddev_samp(value), 8) AS stddev, round(sum(value), 2) AS total FROM events GROUP BY 1")
 def agg_10_stats(spark, d):
-    return table(spark, d, "events").groupBy("event_type").agg(F.count("value").alias("n"), r4(F.avg("value")).alias("mean"), r4(F.stddev("value")).alias("stddev"), F.round(F.sum("value"), 2).alias("total"))
+    return table(spark, d, "events").groupBy("event_type").agg(F.count("value").alias("n"), r8(F.avg("value")).alias("mean"), r8(F.stddev("value")).alias("stddev"), F.round(F.sum("value"), 2).alias("total"))
 
 
 @query()
@@ -279,9 +284,9 @@ def agg_11_approx(spark, d):
     return table(spark, d, "events").groupBy("event_type").agg(p.alias("p")).select("event_type", *[F.col("p")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75", "p90"))])
 
 
-@query("SELECT event_type, round(quantile_cont(value, 0.5), 4) AS p50, round(quantile_cont(value, 0.95), 4) AS p95, round(quantile_cont(value, 0.99), 4) AS p99 FROM events GROUP BY 1")
+@query("SELECT event_type, round(quantile_cont(value, 0.5), 8) AS p50, round(quantile_cont(value, 0.95), 8) AS p95, round(quantile_cont(value, 0.99), 8) AS p99 FROM events GROUP BY 1")
 def agg_13_percentile(spark, d):
-    return table(spark, d, "events").groupBy("event_type").agg(*[r4(F.percentile("value", p)).alias(n) for p, n in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99"))])
+    return table(spark, d, "events").groupBy("event_type").agg(*[r8(F.percentile("value", p)).alias(n) for p, n in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99"))])
 
 
 @query("SELECT strftime(ts, '%Y-%m-%d') AS day, " + ", ".join(f"count(*) FILTER (event_type = '{e}') AS \"{e}\"" for e in ("click", "error", "view")) + " FROM events GROUP BY 1")
@@ -290,10 +295,10 @@ def agg_15_pivot(spark, d):
     return aggregates.pivot(rows, ["day"], "event_type", ["click", "error", "view"], F.count("event_id")).fillna(0)
 
 
-@query(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", count({c}) AS n, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS stddev, round(min({c}), 4) AS least, round(max({c}), 4) AS most FROM lineitem" for c in ("l_quantity", "l_discount", "l_tax")))
+@query(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", count({c}) AS n, round(avg({c}), 8) AS mean, round(stddev_samp({c}), 8) AS stddev, round(min({c}), 8) AS least, round(max({c}), 8) AS most FROM lineitem" for c in ("l_quantity", "l_discount", "l_tax")))
 def agg_16_describe(spark, d):
     out = aggregates.describe(table(spark, d, "lineitem"), ["l_quantity", "l_discount", "l_tax"])
-    return out.select("column", "n", *[r4(c).alias(c) for c in ("mean", "stddev", "least", "most")])
+    return out.select("column", "n", *[r8(c).alias(c) for c in ("mean", "stddev", "least", "most")])
 
 
 @query("SELECT strftime(o_orderdate, '%Y-%m') AS bucket, count(*) AS n FROM orders GROUP BY 1")
@@ -515,10 +520,10 @@ def met_06_inventory(spark, d):
     return metrics.case_inventory(cases, "o_orderpriority").withColumn("share", F.round("share", 6))
 
 
-@query("SELECT l_suppkey, count(*) AS tasks, count(*) FILTER (l_linestatus = 'F') AS completed, count(*) FILTER (l_returnflag = 'R') AS breached, round(avg(l_quantity), 4) AS avg_hours FROM lineitem GROUP BY 1")
+@query("SELECT l_suppkey, count(*) AS tasks, count(*) FILTER (l_linestatus = 'F') AS completed, count(*) FILTER (l_returnflag = 'R') AS breached, round(avg(l_quantity), 8) AS avg_hours FROM lineitem GROUP BY 1")
 def met_07_workload(spark, d):
     tasks = table(spark, d, "lineitem").select("l_suppkey", (F.col("l_linestatus") == "F").cast("int").alias("is_completed"), (F.col("l_returnflag") == "R").cast("int").alias("sla_breached"), (F.col("l_quantity") * 3_600_000).alias("task_duration_ms"))
-    return metrics.task_workload(tasks, "l_suppkey").withColumn("avg_hours", r4("avg_hours"))
+    return metrics.task_workload(tasks, "l_suppkey").withColumn("avg_hours", r8("avg_hours"))
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'F' AND o_totalprice >= 250000 ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
@@ -528,12 +533,12 @@ def met_10_high_value(spark, d):
 
 @query(
     """WITH a AS (SELECT date_trunc('hour', ts) AS b, count(*) AS received FROM events GROUP BY 1), e AS (SELECT date_trunc('hour', ts) AS b, count(*) AS evaluated, avg(CASE WHEN value >= 0 THEN value END) AS m, quantile_cont(CASE WHEN value >= 0 THEN value END, 0.95) AS p FROM events WHERE event_type <> 'error' GROUP BY 1)
-    SELECT strftime(b, '%Y-%m-%d %H:%M:%S') AS time_bucket, received, coalesce(evaluated, 0) AS evaluated, round(received / evaluated * 100, 6) AS rate_pct, round(m, 6) AS avg_latency, round(p, 6) AS p95_latency FROM a LEFT JOIN e USING (b)"""
+    SELECT strftime(b, '%Y-%m-%d %H:%M:%S') AS time_bucket, received, coalesce(evaluated, 0) AS evaluated, round(received / evaluated * 100, 8) AS rate_pct, round(m, 8) AS avg_latency, round(p, 8) AS p95_latency FROM a LEFT JOIN e USING (b)"""
 )
 def met_24_tms(spark, d):
     events = table(spark, d, "events")
     out = metrics.throughput(events, "ts", events.where("event_type <> 'error'"), "ts", "hour", "value")
-    return out.select(text("time_bucket").alias("time_bucket"), "received", "evaluated", *[F.round(c, 6).alias(c) for c in ("rate_pct", "avg_latency", "p95_latency")])
+    return out.select(text("time_bucket").alias("time_bucket"), "received", "evaluated", *[r8(c).alias(c) for c in ("rate_pct", "avg_latency", "p95_latency")])
 
 
 @query("SELECT strftime(o_orderdate, '%Y-%m-%d') AS metric_date, count(*) AS new_cases, count(*) FILTER (o_orderstatus = 'F') AS closed_cases, count(*) FILTER (o_orderstatus <> 'F') AS open_cases, count(DISTINCT CASE WHEN o_orderstatus <> 'F' THEN o_custkey END) AS active_owners, round(sum(CASE WHEN o_orderstatus <> 'F' THEN o_totalprice ELSE 0 END), 2) AS value_at_risk, round(count(*) FILTER (o_orderstatus = 'F') / count(*), 4) AS closure_rate FROM orders GROUP BY 1")
@@ -556,11 +561,11 @@ def met_23_rank(spark, d):
     return metrics.rank_by(table(spark, d, "events").groupBy("event_type").agg(F.round(F.sum("value"), 2).alias("total")), "total", False, "event_type").withColumn("rank", F.col("rank").cast("long"))
 
 
-@query("SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS period, count(*) AS n, round(avg(value), 4) AS mean FROM events GROUP BY 1")
+@query("SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS period, count(*) AS n, round(avg(value), 8) AS mean FROM events GROUP BY 1")
 def met_28_rollup(spark, d):
     hourly = table(spark, d, "events").groupBy(times.bucket(F.col("ts"), "hour").alias("h")).agg(F.count("*").alias("n"), F.avg("value").alias("mean"))
     out = metrics.roll_up(hourly, "h", "day", ["n"], {"mean": "n"})
-    return out.select(F.date_format("period", "yyyy-MM-dd").alias("period"), "n", r4("mean").alias("mean"))
+    return out.select(F.date_format("period", "yyyy-MM-dd").alias("period"), "n", r8("mean").alias("mean"))
 
 
 @query("SELECT event_type, CASE WHEN avg(value) >= 51 THEN 'good' WHEN avg(value) >= 50 THEN 'fair' ELSE 'poor' END AS status FROM events GROUP BY 1")
@@ -628,11 +633,11 @@ def ml_03_corr(spark, d):
 
 @query(
     """WITH q AS (SELECT unnest(quantile_cont(value, [0.5, 0.75, 0.9, 0.95])) AS t FROM events), g AS (SELECT t, count(*) FILTER (value > t) AS fired, count(*) FILTER (value > t AND event_type = 'error') AS hits, count(*) FILTER (event_type = 'error') AS positives FROM q, events GROUP BY t)
-    SELECT round(t, 4) AS threshold, fired, hits, positives, round(hits / fired, 6) AS precision, round(hits / positives, 6) AS recall FROM g"""
+    SELECT round(t, 8) AS threshold, fired, hits, positives, round(hits / fired, 6) AS precision, round(hits / positives, 6) AS recall FROM g"""
 )
 def ml_05_threshold(spark, d):
     out = calibration.threshold_grid(table(spark, d, "events"), "value", F.col("event_type") == "error", [0.5, 0.75, 0.9, 0.95])
-    return out.select(r4("threshold").alias("threshold"), "fired", "hits", "positives", F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"))
+    return out.select(r8("threshold").alias("threshold"), "fired", "hits", "positives", F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"))
 
 
 @query("SELECT event_type, CAST(trunc(quantile_cont(value, 0.5) * 0.7) AS INTEGER) AS alert_threshold, CAST(trunc(quantile_cont(value, 0.75)) AS INTEGER) AS interdiction_threshold FROM events WHERE value > 10 GROUP BY 1")
