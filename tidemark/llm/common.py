@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows handled at once inside a Python task; an Arrow batch of long texts is cut into slices of this many rows.
-SLICE_ROWS = 256
+#: Rows, and bytes of text, that a Python task handles at once; a batch is cut into slices of that size, a longer text is a slice of its own.
+SLICE_ROWS, SLICE_BYTES = 256, 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,11 +42,23 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slices(batches, rows: int = SLICE_ROWS):
-    """Arrow record batches, cut into pieces of at most ``rows`` rows."""
+def slices(batches, rows: int = SLICE_ROWS, size: int = SLICE_BYTES):
+    """Arrow record batches, cut into pieces of at most so many rows and bytes of text (but one row at least)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        weight = np.zeros(batch.num_rows, dtype=np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+                weight += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        upto, at = np.cumsum(weight), 0
+        while at < batch.num_rows:
+            before = upto[at - 1] if at else 0
+            end = min(at + rows, max(at + 1, int(np.searchsorted(upto, before + size, side="right"))), batch.num_rows)
+            yield batch.slice(at, end - at)
+            at = end
 
 
 def text_or_empty(column: str = "text"):

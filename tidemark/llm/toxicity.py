@@ -4,7 +4,7 @@ Two zstandard dictionaries are fitted on labelled text: one on ordinary text,
 one on ordinary *and* toxic text. Every window of a document is compressed with
 both; a window that needs fewer bytes beside the toxic dictionary resembles
 toxic text. Windows are of two widths: a coarse pass over consecutive windows
-of about 64 bytes, and, inside those that get shorter at all, a fine pass over
+of about 96 bytes, and, inside those that get shorter at all, a fine pass over
 single words. A logistic score of a few counts of saved bytes is calibrated on
 the learned documents, so that a threshold on it means a probability.
 
@@ -45,7 +45,7 @@ SAMPLE_DOCS = 3000
 #: Windows of ordinary text that the dictionaries are trained on, and bytes of the dictionary.
 SAMPLE_WINDOWS, DICTIONARY_BYTES = 20_000, 8192
 #: Width of a coarse window in bytes.
-WINDOW = 64
+WINDOW = 96
 #: Bytes of the n-grams that tell toxic passages: those in at least so many toxic documents, and so many times as frequent there.
 GRAM, LEAST_DOCS, LEAST_RATIO = 5, 3, 30.0
 #: The same for whole words, whose n-grams may all be ordinary.
@@ -54,12 +54,13 @@ LEAST_WORD_DOCS = 3
 HIT_BYTES = 2
 #: Telling n-grams, and passages in the toxic dictionary, at most.
 MOST_GRAMS, MOST_WORDS = 20_000, 2000
-LEVEL = 9
+#: Compression levels of coarse windows and of words.
+WINDOW_LEVEL, WORD_LEVEL = 6, 9
 #: Bytes by which coarse windows overlap, and of the text behind a fine window.
 TAIL = 16
 THRESHOLD = 0.7
 #: Remembered words per Python process; the cache starts anew beyond it.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 100_000
 
 
 @dataclass
@@ -92,11 +93,12 @@ class Distance:
     def __init__(self, model: Model):
         import zstandard
 
-        def compressor(content):
+        def compressor(content, level):
             content = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if len(content) >= 8 else None
-            return zstandard.ZstdCompressor(level=LEVEL, dict_data=content, write_content_size=False, write_dict_id=False)
+            return zstandard.ZstdCompressor(level=level, dict_data=content, write_content_size=False, write_dict_id=False)
 
-        self.ordinary, self.toxic = compressor(model.ordinary), compressor(model.toxic + model.ordinary)
+        self.coarse = [compressor(c, WINDOW_LEVEL) for c in (model.ordinary, model.toxic + model.ordinary)]
+        self.ordinary, self.toxic = (compressor(c, WORD_LEVEL) for c in (model.ordinary, model.toxic + model.ordinary))
         # zstandard looks for no match in the last bytes of its input: behind a word goes text that both dictionaries hold
         self.carrier = model.ordinary[-TAIL:]
         self.empty = len(self.ordinary.compress(self.carrier))
@@ -116,8 +118,7 @@ class Distance:
             return np.zeros(0, dtype=np.int64)
         reach = np.minimum(lengths + np.uint64(TAIL), np.uint64(len(data)) - starts)
         segments = zstandard.BufferWithSegments(data, np.stack([starts, reach], axis=1).astype(np.uint64).tobytes())
-        a = self.ordinary.multi_compress_to_buffer(segments, threads=0)
-        b = self.toxic.multi_compress_to_buffer(segments, threads=0)
+        a, b = (c.multi_compress_to_buffer(segments, threads=0) for c in self.coarse)
         return np.fromiter((len(x) - len(y) for x, y in zip(a, b, strict=True)), dtype=np.int64, count=len(starts))
 
     def saved_on(self, word: bytes) -> int:
