@@ -32,7 +32,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer("byte_bpe_50k.tiktoken")
     chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     chats = chats.unionByName(spark.createDataFrame(PROBE, "conv_id long, turn long, role string, text string"))
-    return chat_format.digest_chats(chat_format.format_chats(chats, path), path)
+    return chat_format.digest_chats(chat_format.format_chats(chats, path), path).drop("n_tokens", "n_loss_tokens")
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,6 +103,19 @@ m AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m
 """
 
+_CHATS = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum({len("<|turn|><|sep|><|end|>")} + {_escaped_length("role")} + {_escaped_length("text")}) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
 SQL = {
+    "op1_chat_format": _CHATS.strip(),
     "op8_url_filter": "WITH " + _URLS.strip(),
 }
