@@ -75,7 +75,10 @@ def flatten(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def tenant_column(df: DataFrame, names=("tenant_id", "tx_tenant_id", "tenantid")) -> str:
+TENANT_COLUMNS = ("tenant_id", "tx_tenant_id", "tenantid")
+
+
+def tenant_column(df: DataFrame, names=TENANT_COLUMNS) -> str:
     """The first tenant column there is; an error if there is none, so nothing is read unscoped."""
     for n in names:
         if n in df.columns:
@@ -83,5 +86,7 @@ def tenant_column(df: DataFrame, names=("tenant_id", "tx_tenant_id", "tenantid")
     raise ValueError("no tenant column")
 
 
-def for_tenant(df: DataFrame, tenant: str) -> DataFrame:
-    return df.where(F.col(tenant_column(df)) == tenant)
+def for_tenant(df: DataFrame, tenant, names=TENANT_COLUMNS) -> DataFrame:
+    """Rows of one tenant; the value is cast to the column's type, so files can be skipped."""
+    name = tenant_column(df, names)
+    return df.where(F.col(name) == F.lit(tenant).cast(df.schema[name].dataType))

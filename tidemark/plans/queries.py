@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import nested, times
 from tidemark.operators import aggregates, columns, joins, quality, windows
-from tidemark.plans import calibration, documents, evidence, metrics
+from tidemark.plans import calibration, documents, evidence, metrics, views
 from tidemark.plans.service import QueryService
 from tidemark.sources import readers
 from tidemark.streaming import ingest
@@ -483,16 +483,9 @@ def doc_01_pipeline(spark, d):
     return out.select("doc_id", "size_bytes", "text_length", F.md5(F.col("index_text").cast("binary")).alias("index_md5"), "processing_status")
 
 
-class _NationService(QueryService):
-    """Suppliers by nation: the nation's key stands for the tenant."""
-
-    def _table(self, session, name):
-        return session.read.parquet(self.tables[name]).where(F.col("s_nationkey") == int(self.tenant))
-
-
 @query("SELECT s_suppkey, s_name FROM supplier WHERE s_nationkey = 7 AND s_suppkey IN (0, 1, 2, 3, 4, 5, 6, 7, 8, 9)")
 def api_01_query(spark, d):
-    service = _NationService(spark, {"supplier": f"{d}/supplier.parquet"}, "7")
+    service = QueryService(spark, {"supplier": f"{d}/supplier.parquet"}, "7", ("s_nationkey",))
     return service.query("supplier", {"s_suppkey": list(range(10))}, ["s_suppkey", "s_name"], 1000)
 
 
@@ -643,3 +636,132 @@ def ml_05_threshold(spark, d):
 @query("SELECT event_type, CAST(trunc(quantile_cont(value, 0.5) * 0.7) AS INTEGER) AS alert_threshold, CAST(trunc(quantile_cont(value, 0.75)) AS INTEGER) AS interdiction_threshold FROM events WHERE value > 10 GROUP BY 1")
 def ml_10_thresholds(spark, d):
     return calibration.threshold_advice(table(spark, d, "events"), ["event_type"], "value", F.col("value") > 10)
+
+
+# ------------------------------------------------------------------ views over events: user pays the account named in props
+
+
+def _detail(spark, d) -> DataFrame:
+    e = table(spark, d, "events")
+    none = F.lit(None).cast("string")
+    return e.select(
+        F.col("event_id").cast("string").alias("transaction_id"), F.lit("T1").alias("tenant_id"), F.col("event_type").alias("tx_type"), none.alias("end_to_end_id"), none.alias("tx_msg_id"), F.col("ts").alias("tx_event_ts"), F.col("value").alias("instructed_amount"),
+        F.lit("EUR").alias("instructed_currency"), F.col("user_id").cast("string").alias("debtor_account_id"), F.get_json_object("props", "$.k").alias("creditor_account_id"), F.when(F.col("user_id") % 2 == 0, F.concat(F.lit("c"), F.col("user_id").cast("string"))).alias("debtor_id"),
+        none.alias("creditor_id"), none.alias("debtor_name"), none.alias("creditor_name"), (F.col("event_type") == "error").cast("int").alias("is_alerted"), (F.col("value") > 200).cast("int").alias("is_investigated"),
+    )
+
+
+_PAYS = ("purchase", "view")
+_PARTY = (
+    "SELECT event_id, event_type, ts, value, 'ACCOUNT' AS entity_type, 'DEBTOR' AS entity_role, CAST(user_id AS VARCHAR) AS entity_id FROM events UNION ALL SELECT event_id, event_type, ts, value, 'ACCOUNT', 'CREDITOR', json_extract_string(props, '$.k') FROM events "
+    "UNION ALL SELECT event_id, event_type, ts, value, 'COUNTERPARTY', 'DEBTOR', 'c' || user_id FROM events WHERE user_id % 2 = 0"
+)
+_PW = "PARTITION BY entity_type, entity_role, entity_id ORDER BY ts{0}, CAST(event_id AS VARCHAR){0}"
+
+
+@query(
+    f"""WITH p AS ({_PARTY}), ev AS (SELECT 'EVENT' AS row_type, CAST(event_id AS VARCHAR) AS transaction_id, entity_type, entity_role, entity_id, CAST(NULL AS VARCHAR) AS bucket_granularity, CAST(NULL AS VARCHAR) AS bucket_start, CAST(row_number() OVER ({_PW.format(" DESC")}) AS BIGINT) AS recent_rank_desc,
+    CAST(sum(CASE WHEN event_type IN ('purchase', 'view') THEN 1 ELSE 0 END) OVER ({_PW.format("")} ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cum_tx_count, round(sum(CASE WHEN event_type IN ('purchase', 'view') THEN value ELSE 0 END) OVER ({_PW.format("")} ROWS UNBOUNDED PRECEDING), 2) AS cum_tx_amount, CAST(NULL AS BIGINT) AS bucket_tx_count, CAST(NULL AS DOUBLE) AS bucket_tx_amount FROM p),
+    g AS (SELECT unnest(['month', 'year']) AS g), ag AS (SELECT 'AGG' AS row_type, 'AGG||' || entity_type || '||' || entity_role || '||' || entity_id || '||' || g || '||' || strftime(date_trunc(g, ts), '%Y-%m-%d %H:%M:%S') AS transaction_id, entity_type, entity_role, entity_id, g AS bucket_granularity, strftime(date_trunc(g, ts), '%Y-%m-%d %H:%M:%S') AS bucket_start,
+    CAST(NULL AS BIGINT) AS recent_rank_desc, CAST(NULL AS BIGINT) AS cum_tx_count, CAST(NULL AS DOUBLE) AS cum_tx_amount, count(*) AS bucket_tx_count, round(sum(value), 2) AS bucket_tx_amount FROM p, g WHERE event_type IN ('purchase', 'view') GROUP BY ALL)
+    SELECT * FROM ev UNION ALL SELECT * FROM ag"""
+)
+def view_06_history(spark, d):
+    out = views.transaction_history(_detail(spark, d), ("month", "year"), _PAYS)
+    return out.select(
+        "row_type", "transaction_id", "entity_type", "entity_role", "entity_id", "bucket_granularity", text("bucket_start").alias("bucket_start"), F.col("recent_rank_desc").cast("long").alias("recent_rank_desc"), "cum_tx_count", F.round("cum_tx_amount", 2).alias("cum_tx_amount"), "bucket_tx_count", F.round("bucket_tx_amount", 2).alias("bucket_tx_amount")
+    )
+
+
+@query(
+    "SELECT g AS bucket_granularity, strftime(date_trunc(g, ts), '%Y-%m-%d %H:%M:%S') AS bucket_start, CAST(user_id AS VARCHAR) AS from_id, json_extract_string(props, '$.k') AS to_id, count(*) AS tx_count, round(sum(value), 2) AS total_amount, max(CASE WHEN value > 200 THEN 1 ELSE 0 END) AS investigated FROM events, (SELECT unnest(['day', 'month']) AS g) WHERE event_type IN ('purchase', 'view') GROUP BY ALL"
+)
+def view_07_account_edges(spark, d):
+    out = views.network_edges(_detail(spark, d), "debtor_account_id", "creditor_account_id", ("day", "month"), _PAYS)
+    return out.select("bucket_granularity", text("bucket_start").alias("bucket_start"), F.col("from_debtor_account_id").alias("from_id"), F.col("to_creditor_account_id").alias("to_id"), "tx_count", F.round("total_amount", 2).alias("total_amount"), F.col("is_investigated_edge").alias("investigated"))
+
+
+@query("SELECT 'c' || user_id AS from_id, CAST(user_id AS VARCHAR) AS to_id, strftime(date_trunc('month', ts), '%Y-%m-%d') AS bucket_start, count(*) AS tx_count FROM events WHERE user_id % 2 = 0 AND event_type IN ('purchase', 'view') GROUP BY ALL")
+def view_09_holder_links(spark, d):
+    out = views.holder_links(_detail(spark, d), ("month",), _PAYS)
+    return out.select(F.col("from_counterparty_id").alias("from_id"), F.col("to_account_id").alias("to_id"), F.date_format("bucket_start", "yyyy-MM-dd").alias("bucket_start"), "tx_count")
+
+
+@query(
+    f"""WITH p AS (SELECT DISTINCT event_id, ts, value, entity_type, entity_id FROM ({_PARTY}) WHERE event_type = 'error'), g AS (SELECT unnest(['day', 'month', 'all']) AS g)
+    SELECT entity_type, entity_id, g AS bucket_granularity, CASE WHEN g = 'all' THEN '1970-01-01 00:00:00' ELSE strftime(date_trunc(CASE WHEN g = 'all' THEN 'day' ELSE g END, ts), '%Y-%m-%d %H:%M:%S') END AS bucket_start,
+    CASE g WHEN 'all' THEN '2999-12-31 00:00:00' WHEN 'day' THEN strftime(date_trunc('day', ts) + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') ELSE strftime(date_trunc('month', ts) + INTERVAL 1 MONTH, '%Y-%m-%d %H:%M:%S') END AS bucket_end,
+    count(DISTINCT event_id) AS alerts_count, round(sum(value), 2) AS alerts_value_sum, count(DISTINCT CASE WHEN value > 200 THEN event_id END) AS investigations_count FROM p, g GROUP BY ALL"""
+)
+def view_10_alert_history(spark, d):
+    alerts = _detail(spark, d).where("tx_type = 'error'").withColumns({"alert_id": F.col("transaction_id"), "event_ts": F.col("tx_event_ts"), "tx_amount": F.col("instructed_amount")})
+    out = views.alert_history(alerts, ("day", "month", "all"))
+    return out.select("entity_type", "entity_id", "bucket_granularity", text("bucket_start").alias("bucket_start"), text("bucket_end").alias("bucket_end"), "alerts_count", F.round("alerts_value_sum", 2).alias("alerts_value_sum"), "investigations_count")
+
+
+@query(
+    """WITH c AS (SELECT event_id AS cond, ts AS s, CASE WHEN event_id % 20 = 0 THEN NULL ELSE ts + INTERVAL 3 HOUR END AS e FROM events WHERE event_type = 'signup' AND event_id % 10 = 0), t AS (SELECT event_id, event_type, ts FROM events WHERE event_type IN ('purchase', 'click'))
+    SELECT cond, event_id FROM c LEFT JOIN t ON date_trunc('day', s) = date_trunc('day', ts) AND ts >= s AND (e IS NULL OR ts <= e) AND event_type = 'purchase'"""
+)
+def view_11_conditions_timeline(spark, d):
+    conds = table(spark, d, "events").where("event_type = 'signup' and event_id % 10 = 0").select(
+        F.col("event_id").alias("cond"), F.col("event_id").cast("string").alias("pk"), F.lit("T1").alias("tenant_id"), F.col("ts").alias("condition_inception_ts"), F.when(F.col("event_id") % 20 != 0, F.col("ts") + F.expr("INTERVAL 3 HOUR")).alias("condition_expiry_ts"), F.lit("purchase,none").alias("event_types_csv")
+    )
+    tx = _detail(spark, d).where("tx_type in ('purchase', 'click')")
+    return views.conditions_timeline(conds, tx, ("day",)).select("cond", F.col("transaction_id").cast("long").alias("event_id"))
+
+
+@query("SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS time_bucket FROM events GROUP BY 1 HAVING count(*) / nullif(count(*) FILTER (event_type <> 'error'), 0) * 100 NOT BETWEEN 95 AND 130")
+def met_14_anomalies(spark, d):
+    events = table(spark, d, "events")
+    series = metrics.throughput(events, "ts", events.where("event_type <> 'error'"), "ts", "day", "value")
+    return metrics.anomalies(series, metrics.Limits((95.0, 130.0), 1e9, 1e9)).select(F.date_format("time_bucket", "yyyy-MM-dd").alias("time_bucket"))
+
+
+@query("WITH h AS (SELECT date_trunc('hour', ts) AS b, count(*) AS r, count(*) FILTER (event_type <> 'error') AS e FROM events GROUP BY 1) SELECT max(r) AS peak, CAST(sum(r) AS BIGINT) AS received, CAST(sum(e) AS BIGINT) AS evaluated, round(max(r) / 0.6, 6) AS capacity, 75.0 - CASE WHEN sum(r) / sum(e) * 100 BETWEEN 95 AND 105 THEN 0 ELSE 25 END AS health_pct FROM h")
+def met_15_health(spark, d):
+    events = table(spark, d, "events")
+    series = metrics.throughput(events, "ts", events.where("event_type <> 'error'"), "ts", "hour", "value")
+    return metrics.health(series).select("peak", "received", "evaluated", F.round("capacity", 6).alias("capacity"), "health_pct")
+
+
+@query("SELECT round(avg(CASE WHEN l_shipdate >= o_orderdate THEN date_diff('hour', o_orderdate, l_shipdate) END), 6) AS resolution_hours FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+def met_18_resolution(spark, d):
+    rows = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return metrics.resolution(rows, "o_orderdate", "o_orderdate", "l_shipdate").select(F.round("resolution_hours", 6).alias("resolution_hours"))
+
+
+@query("WITH c AS (SELECT o_custkey AS case_id, max(CASE o_orderstatus WHEN 'F' THEN 3 WHEN 'O' THEN 2 ELSE 1 END) AS r FROM orders GROUP BY 1) SELECT case_id, CASE r WHEN 3 THEN 'FRAUD_AND_AML' WHEN 2 THEN 'FRAUD' ELSE 'AML' END AS category FROM c")
+def met_17_categories(spark, d):
+    s = F.col("o_orderstatus")
+    alerts = table(spark, d, "orders").select(F.col("o_custkey").alias("case_id"), F.when(s == "F", "FRAUD_AND_AML").when(s == "O", "FRAUD").otherwise("AML").alias("alert_type_norm"))
+    return metrics.case_categories(alerts)
+
+
+@query("WITH t AS (SELECT event_type, count(*) FILTER (value > 100) AS fired FROM events GROUP BY 1) SELECT event_type, fired, CASE WHEN fired - 100 >= 10 THEN 'INCREASE' WHEN fired - 100 > -10 THEN 'RETAIN' ELSE 'DECREASE' END AS advice, CASE WHEN abs(fired - 100) < 10 THEN 50 ELSE greatest(0, 50 + fired - 100) END AS new_weight FROM t")
+def ml_09_weights(spark, d):
+    rows = table(spark, d, "events").groupBy("event_type").agg(F.count_if(F.col("value") > 100).alias("fired")).withColumns({"weight": F.lit(50).cast("long"), "coef": (F.col("fired") - 100) / 100.0 + F.signum(F.col("fired") - 100) * 1e-9})
+    return calibration.weight_advice(rows, "weight", "coef").select("event_type", "fired", "advice", "new_weight")
+
+
+@query("SELECT s_nationkey, count(*) AS n FROM supplier WHERE s_nationkey = 7 GROUP BY 1")
+def api_02_sql(spark, d):
+    service = QueryService(spark, {"supplier": f"{d}/supplier.parquet"}, "7", ("s_nationkey",))
+    return service.sql("SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY 1")
+
+
+@query(f"SELECT event_id, count(*) OVER (PARTITION BY json_extract_string(props, '$.k') ORDER BY {_MS} RANGE BETWEEN 28800000 PRECEDING AND CURRENT ROW) AS recent_count FROM events")
+def rule_016_creditor_window(spark, d):
+    rows = table(spark, d, "events").withColumn("account", F.get_json_object("props", "$.k"))
+    return evidence.recent_count(rows, ["account"], "ts", 28_800_000).select("event_id", "recent_count")
+
+
+@query("SELECT event_id, CAST(date_diff('month', DATE '1990-05-15', CAST(ts AS DATE)) // 12 AS INTEGER) AS years FROM events WHERE day(ts) > 15")
+def rule_028_age(spark, d):
+    rows = table(spark, d, "events").where(F.dayofmonth("ts") > 15).withColumn("doc", F.lit('{"a":{"BirthDt":"1990-05-15"}}'))
+    return rows.select("event_id", evidence.age_in_years("doc", "$.a.BirthDt", F.to_date("ts")).alias("years"))
+
+
+@query("SELECT event_type, count(*) AS n, count(*) FILTER (json_extract_string(props, '$.k') IS NOT NULL) AS with_k FROM events GROUP BY 1")
+def agg_17_coverage(spark, d):
+    return table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count(F.get_json_object("props", "$.k")).alias("with_k"))

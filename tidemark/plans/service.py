@@ -12,7 +12,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.columns import for_tenant, tenant_column
+from tidemark.operators.columns import TENANT_COLUMNS, for_tenant
 
 MAX_ROWS = 10_000
 DEFAULT_ROWS = 100
@@ -25,13 +25,13 @@ class Forbidden(ValueError):
 
 
 class QueryService:
-    def __init__(self, spark: SparkSession, tables: dict[str, str], tenant: str):
-        self.spark, self.tables, self.tenant = spark, tables, tenant
+    def __init__(self, spark: SparkSession, tables: dict[str, str], tenant: str, tenant_columns=TENANT_COLUMNS):
+        self.spark, self.tables, self.tenant, self.tenant_columns = spark, tables, tenant, tenant_columns
 
     def _table(self, session: SparkSession, name: str) -> DataFrame:
         if name not in self.tables:
             raise LookupError(f"unknown table {name!r}")
-        return for_tenant(session.read.parquet(self.tables[name]), self.tenant)
+        return for_tenant(session.read.parquet(self.tables[name]), self.tenant, self.tenant_columns)
 
     def names(self) -> list[str]:
         return sorted(self.tables)
@@ -61,11 +61,9 @@ class QueryService:
             raise Forbidden("read-only")
         session = self.spark.newSession()
         session.conf.set("spark.sql.runSQLOnFiles", "false")
-        for name, path in self.tables.items():
+        for name in self.tables:
             if re.search(rf"\b{re.escape(name)}\b", quiet, re.IGNORECASE):
-                df = session.read.parquet(path)
-                tenant_column(df)
-                for_tenant(df, self.tenant).createOrReplaceTempView(name)
+                self._table(session, name).createOrReplaceTempView(name)
         return session.sql(statement).limit(min(limit, MAX_ROWS) if limit and limit > 0 else MAX_ROWS)
 
     @staticmethod
