@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import cut_lineage, slices, text_or_empty
 
 CAPACITY = 4096
-#: Chunks after which the cache starts a new generation; a Python process holds two.
-CACHE_ENTRIES = 200_000
+#: Remembered chunks per Python process, after which the cache starts anew, and the size of the table of chunks met once.
+CACHE_ENTRIES, MARK_BITS = 400_000, 22
 #: Parts into which the pieces of one length are dealt for ranking.
 SALTS = 256
 #: Steps of the search for one filling, and of all fillings together, before the incumbent stands.
@@ -64,9 +64,8 @@ class Encoder:
     White-space-separated chunks are encoded once each and remembered, as
     little-endian bytes, so a text is one join; a text with characters outside
     the plain range, or with a special token of the vocabulary in it, is
-    encoded by the library as a whole. Of the cache two generations are held:
-    when the young one is full it becomes the old one, from which entries are
-    taken back as they are met.
+    encoded by the library as a whole. A chunk stays in the cache from its
+    second appearance on; which were met once, a table of marks remembers.
     """
 
     def __init__(self, path: str):
@@ -81,8 +80,8 @@ class Encoder:
         self.merger.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = {}
+        self.met = bytearray(1 << MARK_BITS)
 
     def _merge(self, words: list[str]) -> None:
         """Merges words in few calls and tells them apart by their end marks."""
@@ -92,29 +91,31 @@ class Encoder:
         ids = np.array([i for e in self.merger.encode_batch_fast(lines, add_special_tokens=False) for i in e.ids], dtype="<u4")
         ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
         data = ids.tobytes()
-        for w, start, end in zip(words, [0, *ends], ends, strict=False):
-            self.young[w] = data[start:end]
-
-    def _learn(self, chunks: set[str]) -> None:
-        """Fills the cache with chunks that are not in its young generation."""
-        old = self.old.get
-        parts = {}
-        for c in chunks:
-            ids = old(c)
-            if ids is None:
-                parts[c] = _WORDS.findall(c)
-            else:
-                self.young[c] = ids
-        new = {w for x in parts.values() for w in x if w not in self.young}
-        for w in [w for w in new if w in self.old]:
-            self.young[w] = self.old[w]
-            new.discard(w)
+        self.cache.update(zip(words, map(data.__getitem__, map(slice, [0, *ends], ends)), strict=False))
+
+    def _learn(self, chunks: set[str]) -> set[str]:
+        """Puts chunks into the cache; returns what was put there, words of the chunks included."""
+        cache, find = self.cache, _WORDS.findall
+        parts = [(c, x) for c in chunks if len(x := find(c)) != 1 or x[0] != c]
+        new = chunks.difference([c for c, _ in parts])
+        new.update([w for _, x in parts for w in x if w not in cache])
         if new:
             self._merge(list(new))
-        young = self.young
-        for c, x in parts.items():
-            if len(x) != 1 or x[0] != c:
-                young[c] = b"".join([young[w] for w in x])
+        for c, x in parts:
+            cache[c] = b"".join([cache[w] for w in x])
+        return new | chunks
+
+    def _forget(self, chunks: set[str]) -> None:
+        """Drops chunks that are met for the first time."""
+        met, last, drop = self.met, (1 << MARK_BITS) - 1, self.cache.__delitem__
+        for c in chunks:
+            at = hash(c) & last
+            if not met[at]:
+                met[at] = 1
+                drop(c)
+        if len(self.cache) > CACHE_ENTRIES:
+            self.cache.clear()
+            self.met = bytearray(1 << MARK_BITS)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -122,15 +123,14 @@ class Encoder:
 
         plain = [bool(_PLAIN.fullmatch(t)) and not any(s in t for s in self.special) for t in texts]
         chunks = [t.lower().split() if ok else () for t, ok in zip(texts, plain, strict=True)]
-        if len(self.young) > CACHE_ENTRIES:
-            self.old, self.young = self.young, {}
-        missing = set().union(*chunks).difference(self.young)
-        if missing:
-            self._learn(missing)
+        missing = set().union(*chunks).difference(self.cache)
+        fresh = self._learn(missing) if missing else missing
         whole = [t for t, ok in zip(texts, plain, strict=True) if not ok]
         whole = iter(self.tokenizer.encode_batch_fast(whole, add_special_tokens=False) if whole else ())
-        get = self.young.__getitem__
-        return [b"".join(map(get, x)) if ok else np.array(next(whole).ids, dtype="<u4").tobytes() for x, ok in zip(chunks, plain, strict=True)]
+        get = self.cache.__getitem__
+        out = [b"".join(map(get, x)) if ok else np.array(next(whole).ids, dtype="<u4").tobytes() for x, ok in zip(chunks, plain, strict=True)]
+        self._forget(fresh)
+        return out
 
 
 def encoder(path: str) -> Encoder:
