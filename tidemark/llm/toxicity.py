@@ -184,6 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
         some = known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)
         sample = some if sample is None else sample.unionByName(some)
     learned = docs.select(F.col(id_col).alias("id"), F.lower(text_or_empty(text)).alias("text")).join(F.broadcast(sample), "id")
+    learned = cut_lineage(learned)  # read four times
 
     # document frequency of words in each class; near copies, which agree on the least or greatest hash of five words in a row, count once
     runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - 4, F.lit(1))), lambda i: F.xxhash64(F.slice("words", i, 5)))
