@@ -106,6 +106,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     rows = docs
     if taken.where("_rows > 1").limit(1).count():  # rows alike in id, text and source: one of them stands for all
         rows = docs.withColumns({"_i": docs[id_col], "_c": _content(text, source)}).dropDuplicates(["_i", "_c"]).drop("_i", "_c")
+    taken = taken.hint("merge")  # texts go by merge join at every size, so that the plan is the one that was measured
     rows = rows.join(taken, rows[id_col].eqNullSafe(taken["_id"]) & (_content(text, source) == taken["_content"]))
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*[docs[c] for c in docs.columns])
 
