@@ -115,7 +115,24 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM c GROUP BY conv_id
 """
 
+_NEAR = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS ws FROM documents
+),
+s AS (SELECT DISTINCT doc_id, unnest([array_to_string(ws[i + 1 : i + 5], ' ') FOR i IN range(0, CASE WHEN len(ws) = 0 THEN 0 ELSE greatest(len(ws) - 4, 1) END)]) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT x, y FROM p JOIN n a ON x = a.doc_id JOIN n b ON y = b.doc_id WHERE c >= 0.8 * (a.n + b.n - c)
+  UNION SELECT a.doc_id, b.doc_id FROM w a JOIN w b ON a.ws = b.ws AND a.doc_id < b.doc_id
+),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, e.y FROM r JOIN e ON r.b = e.x)
+SELECT a AS doc_id, min(b) AS class_id FROM r GROUP BY a
+"""
+
 SQL = {
+    "op7_near_duplicates": _NEAR.strip(),
     "op1_chat_format": _CHATS.strip(),
     "op8_url_filter": "WITH " + _URLS.strip(),
 }
