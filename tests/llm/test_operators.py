@@ -174,6 +174,8 @@ def test_language(spark, awkward, nothing):
     assert len(got) == 9 and {d for d, lang, s in got if lang == "und"} == {1, 2, 6, 7} and all(s == 0 for d, lang, s in got if lang == "und")
     assert dict((d, lang) for d, lang, _ in got)[3] == "de"
     assert langid.classify(nothing, model).count() == 0
+    short = spark.createDataFrame([(1, "a"), (2, "ab"), (3, "9 ü 9"), (4, "12"), (5, "\n")], "doc_id long, text string")
+    assert {r["doc_id"] for r in langid.classify(short, model).where("lang_pred = 'und'").collect()} == {4, 5}
     assert {r["lang_pred"] for r in langid.classify(awkward, langid.learn(nothing)).collect()} == {"und"}
 
 
@@ -182,7 +184,7 @@ def test_bundles_match_their_definition():
     got, counts = langid.bundle(texts)
     for t, v, n in zip(texts, got, counts, strict=True):
         marks, out = [], []
-        for c in t.lower():
+        for c in f" {t.lower()} ":
             if c.isalpha():
                 marks.append(ord(c))
             elif not marks or marks[-1]:

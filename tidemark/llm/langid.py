@@ -12,7 +12,7 @@ once per slice, and a matrix product bundles all texts of the slice.
 
 Defined results
 ---------------
-* null text, or one without a letter: language ``und``, score 0;
+* null text, or one without a letter: language ``und``, score 0; a single letter is enough for a language;
 * rows with a null language are not learned from; with nothing learned, every
   document is ``und``;
 * ties between languages: the one first in order; repeated rows stay;
@@ -61,11 +61,12 @@ def ngram_codes(texts: list[str]):
     """``(rows, codes, letters)``: every n-gram of every text, in text order.
 
     A code is a number in base ``len(letters)``, the last letter lowest;
-    ``rows`` tells the text. N-grams without a letter are left out.
+    ``rows`` tells the text. A text has a gap at either end, so that each of
+    its letters is in an n-gram. N-grams without a letter are left out.
     """
     import numpy as np
 
-    lowered = [t.lower() for t in texts]
+    lowered = [f" {t.lower()} " for t in texts]
     points = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     parts = np.repeat(np.arange(len(texts)), [len(t) for t in lowered])
     letter = _is_letter()[points]
