@@ -3,15 +3,17 @@
 Two zstandard dictionaries are fitted on labelled text: one on ordinary text,
 one on ordinary *and* toxic text. Every window of a document is compressed with
 both; a window that needs fewer bytes beside the toxic dictionary resembles
-toxic text. Windows are of two widths: a coarse pass over consecutive windows
-of about 96 bytes, and, inside those that get shorter at all, a fine pass over
-single words. A logistic score of a few counts of saved bytes is calibrated on
-the learned documents, so that a threshold on it means a probability.
+toxic text. A window is a word, as a short one saves too little to show in
+anything longer: a run of bytes other than ASCII signs and white space, cut
+into overlapping pieces above ``WINDOW`` bytes.
+A logistic score of a few counts of saved bytes is calibrated on the learned
+documents, so that a threshold on it means a probability.
 
 Labels belong to whole documents, of which most text is ordinary even if the
 label is 1. The toxic dictionary is therefore fitted on the passages that tell
 the classes apart: the parts of words whose byte n-grams are in toxic documents
-many times as often as in ordinary ones.
+many times as often as in ordinary ones. Ordinary words that save bytes beside
+it all the same, being part of a passage, are put into the ordinary dictionary.
 
 Fitting uses a bounded sample (``SAMPLE_DOCS`` labelled documents per class, by
 hash of the id); document frequencies are counted by Spark, and only words of
@@ -44,23 +46,28 @@ from tidemark.llm.common import cut_lineage, slices, text_or_empty
 SAMPLE_DOCS = 3000
 #: Windows of ordinary text that the dictionaries are trained on, and bytes of the dictionary.
 SAMPLE_WINDOWS, DICTIONARY_BYTES = 20_000, 8192
-#: Width of a coarse window in bytes.
-WINDOW = 96
+#: Bytes of a window of the dictionary's sample, and of a piece of a longer word; the pieces overlap by so many.
+WINDOW, OVERLAP = 96, 16
 #: Bytes of the n-grams that tell toxic passages: those in at least so many toxic documents, and so many times as frequent there.
 GRAM, LEAST_DOCS, LEAST_RATIO = 5, 3, 30.0
 #: The same for whole words, whose n-grams may all be ordinary.
 LEAST_WORD_DOCS = 3
 #: A word is a hit if it saves at least so many bytes and costs no more than the toxic passages themselves do (their median).
-HIT_BYTES = 2
+HIT_BYTES = 1
 #: Telling n-grams, and passages in the toxic dictionary, at most.
 MOST_GRAMS, MOST_WORDS = 20_000, 2000
-#: Compression levels of coarse windows and of words.
-WINDOW_LEVEL, WORD_LEVEL = 6, 9
-#: Bytes by which coarse windows overlap, and of the text behind a fine window.
-TAIL = 16
+#: Compression level, and bytes of the text behind a window.
+LEVEL, TAIL = 9, 16
 THRESHOLD = 0.7
 #: Remembered words per Python process; the cache starts anew beyond it.
 CACHE_ENTRIES = 100_000
+#: Longer texts leave nothing in the cache.
+CACHE_BYTES = 1 << 20
+
+
+#: ASCII characters between words, as a pattern and as bytes to blank out.
+_BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_BLANK = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 
 
 @dataclass
@@ -93,12 +100,14 @@ class Distance:
     def __init__(self, model: Model):
         import zstandard
 
-        def compressor(content, level):
-            content = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if len(content) >= 8 else None
-            return zstandard.ZstdCompressor(level=level, dict_data=content, write_content_size=False, write_dict_id=False)
+        def compressor(content):
+            if len(content) < 8:  # less than a dictionary may be
+                return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
+            content = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            content.precompute_compress(level=LEVEL)
+            return zstandard.ZstdCompressor(level=LEVEL, dict_data=content, write_content_size=False, write_dict_id=False)
 
-        self.coarse = [compressor(c, WINDOW_LEVEL) for c in (model.ordinary, model.toxic + model.ordinary)]
-        self.ordinary, self.toxic = (compressor(c, WORD_LEVEL) for c in (model.ordinary, model.toxic + model.ordinary))
+        self.ordinary, self.toxic = map(compressor, (model.ordinary, model.toxic + model.ordinary))
         # zstandard looks for no match in the last bytes of its input: behind a word goes text that both dictionaries hold
         self.carrier = model.ordinary[-TAIL:]
         self.empty = len(self.ordinary.compress(self.carrier))
@@ -109,36 +118,34 @@ class Distance:
         """Bytes that a word takes beside the toxic dictionary."""
         return len(self.toxic.compress(b" " + word + b" " + self.carrier)) - self.empty
 
-    def saved(self, data: bytes, starts, lengths):
-        """Bytes that the toxic dictionary saves on each window."""
-        import numpy as np
-        import zstandard
-
-        if not len(starts):
-            return np.zeros(0, dtype=np.int64)
-        reach = np.minimum(lengths + np.uint64(TAIL), np.uint64(len(data)) - starts)
-        segments = zstandard.BufferWithSegments(data, np.stack([starts, reach], axis=1).astype(np.uint64).tobytes())
-        a, b = (c.multi_compress_to_buffer(segments, threads=0) for c in self.coarse)
-        return np.fromiter((len(x) - len(y) for x, y in zip(a, b, strict=True)), dtype=np.int64, count=len(starts))
-
     def saved_on(self, word: bytes) -> int:
         """Bytes saved on a word if it is a hit, else 0."""
-        if word not in self.words:
-            if len(self.words) >= CACHE_ENTRIES:
-                self.words.clear()
-            padded = b" " + word + b" " + self.carrier
-            a, b = len(self.ordinary.compress(padded)) - self.empty, self.cost(word)
-            self.words[word] = a - b if a - b >= HIT_BYTES and b <= self.hit_cost else 0
-        return self.words[word]
+        pieces = [word] if len(word) <= WINDOW else [word[i : i + WINDOW] for i in range(0, len(word), WINDOW - OVERLAP)]
+        most = 0
+        for piece in pieces:
+            cost = self.cost(piece)
+            if cost <= self.hit_cost:
+                saved = len(self.ordinary.compress(b" " + piece + b" " + self.carrier)) - self.empty - cost
+                most = max(most, saved if saved >= HIT_BYTES else 0)
+        return most
 
     def features(self, text: str) -> list[float]:
-        """1 and, over the words that are hits: the largest saving, all savings, savings by length."""
-        data = text.lower().encode() + b" " + self.carrier
-        starts, lengths = windows(data)
-        saved = self.saved(data, starts, lengths)
-        hits = [self.saved_on(w) for i in (saved > 0).nonzero()[0] for w in data[int(starts[i]) : int(starts[i] + lengths[i])].split()]
+        """1 and, over the words that are hits: the largest saving, all savings, savings by length, how many different ones."""
+        data = text.lower().encode()
+        words = data.translate(_BLANK).split()
+        missing = set(words).difference(self.words)
+        if len(self.words) + len(missing) > CACHE_ENTRIES:
+            self.words.clear()
+            missing = set(words)
+        known = self.words
+        if len(missing) > CACHE_ENTRIES or len(data) > CACHE_BYTES:
+            known = {}  # the words of a very long text are not kept
+            missing = set(words)
+        known.update((w, self.saved_on(w)) for w in missing)
+        hits = list(map(known.__getitem__, words))
         total = sum(hits)
-        return [1.0, float(min(max(hits, default=0), 12)), math.log1p(total), math.log1p(1000.0 * total / (len(data) + 500))]
+        kinds = sum(1 for w in set(words) if known[w]) if total else 0
+        return [1.0, float(min(max(hits, default=0), 12)), math.log1p(total), math.log1p(1000.0 * total / (len(data) + 500)), math.log1p(kinds)]
 
 
 def _grams(word: bytes) -> set[bytes]:
@@ -153,6 +160,11 @@ def _passage(word: bytes, telling) -> bytes:
     return padded[at[0] : at[-1] + GRAM] if at else b""
 
 
+def _usual_cost(model: Model, passages: list[bytes]) -> int:
+    costs = sorted(map(Distance(model).cost, (p.strip() for p in passages)))
+    return costs[len(costs) // 2]
+
+
 def _logistic(x, y):
     import numpy as np
 
@@ -188,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
 
     # document frequency of words in each class; near copies, which agree on the least or greatest hash of five words in a row, count once
     runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - 4, F.lit(1))), lambda i: F.xxhash64(F.slice("words", i, 5)))
-    single = learned.select("y", F.split("text", r"[\x00-\x20]+").alias("words")).withColumn("runs", runs)
+    single = learned.select("y", F.split("text", _BETWEEN).alias("words")).withColumn("runs", runs)
     single = single.select("y", F.array_distinct("words").alias("words"), F.array_min("runs").alias("low"), F.array_max("runs").alias("high"))
     single = cut_lineage(single.dropDuplicates(["y", "low"]).dropDuplicates(["y", "high"]))
     n1, n0 = (max(1, single.where(F.col("y") == y).count()) for y in (1, 0))
@@ -252,8 +264,23 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
     model = Model(ordinary=content, toxic=b"".join(reversed(found)))
 
     if found:
-        costs = sorted(map(Distance(model).cost, (p.strip() for p in found)))
-        model.hit_cost = costs[len(costs) // 2]
+        model.hit_cost = _usual_cost(model, found)
+        first = docs.sparkSession.sparkContext.broadcast(model)
+
+        def mistaken(batches):
+            import pyarrow as pa
+
+            distance = Distance(first.value)
+            for part in slices(batches, 4096):
+                out = [(w, b) for w, b in zip((w.encode() for w in part.column("word").to_pylist()), part.column("b").to_pylist(), strict=True) if len(w) <= WINDOW and distance.saved_on(w)]
+                yield pa.record_batch([pa.array([w for w, _ in out], pa.binary()), pa.array([b for _, b in out], pa.int64())], names=["word", "b"])
+
+        # words of ordinary documents that look like hits, as they are part of a toxic passage: the ordinary dictionary gets them too
+        wrong = by_word.where((F.col("b") > 0) & ~apart).select("word", "b").mapInArrow(mistaken, "word binary, b long")
+        wrong = [bytes(r["word"]) for r in wrong.orderBy(F.desc("b"), "word").limit(MOST_WORDS).select("word").collect()]
+        if wrong:
+            model.ordinary = b" ".join([b"", *reversed(wrong), content])
+            model.hit_cost = _usual_cost(model, found)
 
     rows = score_features(learned, model, "text", ["y"]).select("y", "features").collect()
     x, y = np.array([r["features"] for r in rows], dtype=np.float64), np.array([r["y"] for r in rows], dtype=np.float64)
