@@ -195,6 +195,18 @@ def test_bundles_match_their_definition():
         assert n == len(out) and np.array_equal(v, np.sum(out, axis=0) if out else np.zeros(langid.DIMENSIONS))
 
 
+@pytest.mark.parametrize("n", [20, 600, 2000])
+def test_toxic_words_save_beside_dictionaries_of_any_size(n):
+    rng = random.Random(n)
+    made = [bytes(rng.choices(b"abcdefghijklmnopqrstuvwxyz", k=rng.randint(6, 12))) for _ in range(2 * n + 1000)]
+    planted, wrong, rest = made[:n], made[n : 2 * n], made[2 * n :]
+    ordinary = b" ".join([b"", *wrong, b" ".join(rest)[: toxicity.DICTIONARY_BYTES]])
+    plain = toxicity.Distance(toxicity.Model(ordinary=ordinary))
+    both = toxicity.Distance(toxicity.Model(ordinary=ordinary, toxic=b"".join(b" " + w + b" " for w in planted)))
+    assert all(plain.cost(w) - both.cost(w) >= 2 for w in planted)
+    assert not any(plain.cost(w) - both.cost(w) > 0 for w in wrong if w not in planted)
+
+
 # ------------------------------------------------------------------ 4
 
 

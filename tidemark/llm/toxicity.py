@@ -56,8 +56,10 @@ LEAST_WORD_DOCS = 3
 HIT_BYTES = 1
 #: Telling n-grams, and passages in the toxic dictionary, at most.
 MOST_GRAMS, MOST_WORDS = 20_000, 2000
-#: Compression level, and bytes of the text behind a window.
+#: Compression level of a text without a dictionary, and bytes of the text behind a window.
 LEVEL, TAIL = 9, 16
+#: Shortest match, and how many candidates are tried for one (as a power of two), beside a dictionary.
+MATCH, SEARCH_LOG = 4, 6
 THRESHOLD = 0.7
 #: Remembered words per Python process; the cache starts anew beyond it.
 CACHE_ENTRIES = 100_000
@@ -103,9 +105,14 @@ class Distance:
         def compressor(content):
             if len(content) < 8:  # less than a dictionary may be
                 return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
+            # a level picks its strategy by the dictionary's size, and one of them finds nothing in inputs as short as a word: all is said here
+            reach = max(18, (len(content) + 4 * WINDOW).bit_length())
+            params = zstandard.ZstdCompressionParameters(
+                strategy=zstandard.STRATEGY_BTLAZY2, min_match=MATCH, search_log=SEARCH_LOG, target_length=32, window_log=reach, chain_log=reach, hash_log=reach, write_content_size=False, write_dict_id=False
+            )
             content = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            content.precompute_compress(level=LEVEL)
-            return zstandard.ZstdCompressor(level=LEVEL, dict_data=content, write_content_size=False, write_dict_id=False)
+            content.precompute_compress(compression_params=params)
+            return zstandard.ZstdCompressor(dict_data=content, compression_params=params)
 
         self.ordinary, self.toxic = map(compressor, (model.ordinary, model.toxic + model.ordinary))
         # zstandard looks for no match in the last bytes of its input: behind a word goes text that both dictionaries hold
