@@ -207,6 +207,25 @@ def test_toxic_words_save_beside_dictionaries_of_any_size(n):
     assert not any(plain.cost(w) - both.cost(w) > 0 for w in wrong if w not in planted)
 
 
+def test_toxic_words_in_other_forms(spark):
+    rng = random.Random(5)
+    common = ["".join(rng.choices("abcdeghilmnorstu", k=rng.randint(3, 9))) for _ in range(300)]
+    docs, labels = [], []
+    for i in range(400):
+        words = rng.choices(common, k=40)
+        if i % 4 == 0:
+            words[rng.randrange(40)] = rng.choice(["grumblefink", "swozzleward"])
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    model = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    clean = rng.choices(common, k=12)
+    forms = ["grumblefink", "grumblefinks", "grumblefinkish", "swozzlewards", "ubergrumblefink", "grumblef1nk", "qzjxkvyw" * 20 + "swozzleward" + "kxzqvjwy" * 20]
+    texts = [" ".join(clean), "qzjxkvyw" * 40, *(" ".join([*clean, w]) for w in forms)]
+    scored = toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).select("doc_id", "score", "predicted").orderBy("doc_id").collect()
+    assert [r["predicted"] for r in scored] == [0, 0] + [1] * len(forms), scored
+    assert min(r["score"] for r in scored[2:]) > max(r["score"] for r in scored[:2])
+
+
 # ------------------------------------------------------------------ 4
 
 

@@ -4,10 +4,12 @@ Two zstandard dictionaries are fitted on labelled text: one on ordinary text,
 one on ordinary *and* toxic text. Every window of a document is compressed with
 both; a window that needs fewer bytes beside the toxic dictionary resembles
 toxic text. A window is a word, as a short one saves too little to show in
-anything longer: a run of bytes other than ASCII signs and white space, cut
-into overlapping pieces above ``WINDOW`` bytes.
-A logistic score of a few counts of saved bytes is calibrated on the learned
-documents, so that a threshold on it means a probability.
+anything longer: a run of bytes other than ASCII signs and white space. Over a
+run longer than ``PIECE`` bytes windows of that size slide, so that words inside
+text without spaces show too. Every saved byte counts, and the more so the
+larger its share of what the window costs: a logistic score of a few sums of
+savings is calibrated on the learned documents, so that a threshold on it means
+a probability and decides what a small saving is worth.
 
 Labels belong to whole documents, of which most text is ordinary even if the
 label is 1. The toxic dictionary is therefore fitted on the passages that tell
@@ -35,6 +37,7 @@ Defined results
 from __future__ import annotations
 
 import math
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -46,14 +49,16 @@ from tidemark.llm.common import cut_lineage, slices, text_or_empty
 SAMPLE_DOCS = 3000
 #: Windows of ordinary text that the dictionaries are trained on, and bytes of the dictionary.
 SAMPLE_WINDOWS, DICTIONARY_BYTES = 20_000, 8192
-#: Bytes of a window of the dictionary's sample, and of a piece of a longer word; the pieces overlap by so many.
-WINDOW, OVERLAP = 96, 16
+#: Bytes of a window of the dictionary's sample.
+WINDOW = 96
+#: Bytes of a piece of a longer word, and from the start of one piece to the next: a word of up to 13 bytes lies in one whole.
+PIECE, STEP = 24, 12
+#: Bytes of the windows that slide byte by byte over a piece that saves some.
+WIDTHS = (6, 9, 12)
 #: Bytes of the n-grams that tell toxic passages: those in at least so many toxic documents, and so many times as frequent there.
 GRAM, LEAST_DOCS, LEAST_RATIO = 5, 3, 30.0
 #: The same for whole words, whose n-grams may all be ordinary.
 LEAST_WORD_DOCS = 3
-#: A word is a hit if it saves at least so many bytes and costs no more than the toxic passages themselves do (their median).
-HIT_BYTES = 1
 #: Telling n-grams, and passages in the toxic dictionary, at most.
 MOST_GRAMS, MOST_WORDS = 20_000, 2000
 #: Compression level of a text without a dictionary, and bytes of the text behind a window.
@@ -76,7 +81,6 @@ _BLANK = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 class Model:
     ordinary: bytes = b""
     toxic: bytes = b""
-    hit_cost: int = 0
     weights: list[float] = field(default_factory=list)
     base: float = 0.0
 
@@ -96,6 +100,13 @@ def windows(data: bytes, width: int = WINDOW):
     return bounds[:-1], np.diff(bounds)
 
 
+def pieces(word: bytes) -> list[bytes]:
+    """The word, or overlapping pieces of a longer one; the last ends with it."""
+    if len(word) <= PIECE:
+        return [word]
+    return [word[i : i + PIECE] for i in (*range(0, len(word) - PIECE, STEP), len(word) - PIECE)]
+
+
 class Distance:
     """Compressed lengths beside the two dictionaries."""
 
@@ -118,26 +129,29 @@ class Distance:
         # zstandard looks for no match in the last bytes of its input: behind a word goes text that both dictionaries hold
         self.carrier = model.ordinary[-TAIL:]
         self.empty = len(self.ordinary.compress(self.carrier))
-        self.hit_cost = model.hit_cost
-        self.words: dict[bytes, int] = {}
+        self.words: dict[bytes, tuple[float, int]] = {}
 
     def cost(self, word: bytes) -> int:
         """Bytes that a word takes beside the toxic dictionary."""
         return len(self.toxic.compress(b" " + word + b" " + self.carrier)) - self.empty
 
-    def saved_on(self, word: bytes) -> int:
-        """Bytes saved on a word if it is a hit, else 0."""
-        pieces = [word] if len(word) <= WINDOW else [word[i : i + WINDOW] for i in range(0, len(word), WINDOW - OVERLAP)]
-        most = 0
-        for piece in pieces:
-            cost = self.cost(piece)
-            if cost <= self.hit_cost:
-                saved = len(self.ordinary.compress(b" " + piece + b" " + self.carrier)) - self.empty - cost
-                most = max(most, saved if saved >= HIT_BYTES else 0)
+    def saving(self, piece: bytes) -> tuple[float, int]:
+        """The share of its cost that the toxic dictionary saves on a piece, and how many bytes this is."""
+        cost = len(self.ordinary.compress(piece + self.carrier)) - self.empty
+        saved = cost - (len(self.toxic.compress(piece + self.carrier)) - self.empty)
+        return (saved / cost, saved) if saved > 0 else (0.0, 0)
+
+    def saved_on(self, word: bytes) -> tuple[float, int]:
+        """The largest saving on a word or, if it is longer than a piece, on the windows in it."""
+        most = self.saving(b" " + word + b" ") if len(word) <= PIECE else (0.0, 0)
+        for piece in pieces(word) if len(word) > PIECE else ():
+            if self.saving(b" " + piece + b" ")[1]:
+                inner = {piece[i : i + n] for n in WIDTHS for i in range(len(piece) - n + 1)}
+                most = max(most, *(self.saving(w + b" ") for w in inner))
         return most
 
     def features(self, text: str) -> list[float]:
-        """1 and, over the words that are hits: the largest saving, all savings, savings by length, how many different ones."""
+        """1 and the largest saving, the largest share, savings weighted by their shares in all and by length, and the same over different words."""
         data = text.lower().encode()
         words = data.translate(_BLANK).split()
         missing = set(words).difference(self.words)
@@ -149,10 +163,13 @@ class Distance:
             known = {}  # the words of a very long text are not kept
             missing = set(words)
         known.update((w, self.saved_on(w)) for w in missing)
-        hits = list(map(known.__getitem__, words))
-        total = sum(hits)
-        kinds = sum(1 for w in set(words) if known[w]) if total else 0
-        return [1.0, float(min(max(hits, default=0), 12)), math.log1p(total), math.log1p(1000.0 * total / (len(data) + 500)), math.log1p(kinds)]
+        counts = Counter(w for w in words if known[w][1])
+        if not counts:
+            return [1.0, 0.0, 0.0, 0.0, 0.0, 0.0]
+        found = [known[w] for w in counts]
+        kinds = sum(share * saved for share, saved in found)
+        total = sum(known[w][0] * known[w][1] * n for w, n in counts.items())
+        return [1.0, float(min(max(saved for _, saved in found), 12)), max(share for share, _ in found), math.log1p(total), math.log1p(1000.0 * total / (len(data) + 500)), math.log1p(kinds)]
 
 
 def _grams(word: bytes) -> set[bytes]:
@@ -167,12 +184,22 @@ def _passage(word: bytes, telling) -> bytes:
     return padded[at[0] : at[-1] + GRAM] if at else b""
 
 
-def _usual_cost(model: Model, passages: list[bytes]) -> int:
-    costs = sorted(map(Distance(model).cost, (p.strip() for p in passages)))
-    return costs[len(costs) // 2]
+def _logistic(x, y):
+    """Weights; none but the first is negative, so that a saving lowers no score."""
+    import numpy as np
+
+    w = np.zeros(x.shape[1])
+    used = list(range(x.shape[1]))
+    while True:
+        w[:] = 0
+        w[used] = _newton(x[:, used], y)
+        worst = min(used[1:], key=w.__getitem__, default=0)
+        if not worst or w[worst] >= 0:
+            return w
+        used.remove(worst)
 
 
-def _logistic(x, y):
+def _newton(x, y):
     import numpy as np
 
     w = np.zeros(x.shape[1])
@@ -215,8 +242,6 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
     by_word = cut_lineage(by_word)
 
     def gram_counts(batches):
-        from collections import Counter
-
         import pyarrow as pa
 
         toxic, plain = Counter(), Counter()
@@ -271,7 +296,6 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
     model = Model(ordinary=content, toxic=b"".join(reversed(found)))
 
     if found:
-        model.hit_cost = _usual_cost(model, found)
         first = docs.sparkSession.sparkContext.broadcast(model)
 
         def mistaken(batches):
@@ -279,15 +303,15 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
 
             distance = Distance(first.value)
             for part in slices(batches, 4096):
-                out = [(w, b) for w, b in zip((w.encode() for w in part.column("word").to_pylist()), part.column("b").to_pylist(), strict=True) if len(w) <= WINDOW and distance.saved_on(w)]
+                words = zip(part.column("word").to_pylist(), part.column("b").to_pylist(), strict=True)
+                out = [(p, b) for w, b in words for p in dict.fromkeys(pieces(w.encode())) if distance.saved_on(p)[1]]
                 yield pa.record_batch([pa.array([w for w, _ in out], pa.binary()), pa.array([b for _, b in out], pa.int64())], names=["word", "b"])
 
-        # words of ordinary documents that look like hits, as they are part of a toxic passage: the ordinary dictionary gets them too
-        wrong = by_word.where((F.col("b") > 0) & ~apart).select("word", "b").mapInArrow(mistaken, "word binary, b long")
+        # words of ordinary documents, or their pieces, that save bytes, as they are part of a toxic passage: the ordinary dictionary gets them too
+        wrong = by_word.where((F.col("b") > 0) & ~apart).select("word", "b").mapInArrow(mistaken, "word binary, b long").groupBy("word").agg(F.sum("b").alias("b"))
         wrong = [bytes(r["word"]) for r in wrong.orderBy(F.desc("b"), "word").limit(MOST_WORDS).select("word").collect()]
         if wrong:
             model.ordinary = b" ".join([b"", *reversed(wrong), content])
-            model.hit_cost = _usual_cost(model, found)
 
     rows = score_features(learned, model, "text", ["y"]).select("y", "features").collect()
     x, y = np.array([r["features"] for r in rows], dtype=np.float64), np.array([r["y"] for r in rows], dtype=np.float64)
@@ -306,7 +330,7 @@ _distances: dict[int, Distance] = {}
 def score_features(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, name: str = "features") -> DataFrame:
     """The columns ``keep`` (all, by default) of ``docs`` and an array ``name`` of feature values."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of bounded size
-    token = hash((model.ordinary, model.toxic, model.hit_cost))
+    token = hash((model.ordinary, model.toxic))
     kept = [c for c in (docs.columns if keep is None else keep) if c != name]
     reads = f"_{kept.index(text)}" if text in kept else "_text"  # a kept text isn't sent twice
 
