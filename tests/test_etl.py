@@ -1,12 +1,14 @@
 """Pipelines and views on hand-written payloads."""
 
+import hashlib
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans import evidence, views
+from tidemark.plans import documents, evidence, views
 from tidemark.plans.etl import PIPELINES, dynamic, pipeline_for, typology_rules
+from tidemark.plans.queries import QUERIES
 
 STATUS = {
     "TxTp": "pacs.002.001.12", "TenantId": "T1",
@@ -127,3 +129,15 @@ def test_dynamic(spark):
     raw = spark.createDataFrame([("m1", "2024-01-01T00:00:00Z", (1, [2, 3])), ("m1", "2024-01-02T00:00:00Z", (5, None))], "messageid string, credttm string, body struct<x:int,ys:array<int>>")
     g = one(dynamic("raw_history", "odd").stages(raw)["gold"])
     assert (g["body_x"], g["body_ys"], str(g["event_date"])) == (5, None, "2024-01-02")
+
+
+def test_documents_are_processed_whole(spark, tmp_path):
+    texts = ["é" * 40_000, "short", " ", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in QUERIES["doc_01_whole"](spark, str(tmp_path)).collect()}
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    assert [got[i]["processing_status"] for i in range(4)] == ["COMPLETED", "COMPLETED", "ERROR", "ERROR"]
+    assert [(got[i]["index_md5"], got[i]["forward_md5"]) for i in range(4)] == [(md5(texts[0][:30_000]), md5(texts[0])), (md5("short"), md5("short")), (None, None), (None, None)]
+    gated = {r["doc_id"]: r["processing_error"] for r in documents.process(df, most_bytes=100).collect()}
+    assert gated == {0: "TOO_LARGE", 1: None, 2: "EMPTY", 3: "NO_TEXT"}

@@ -483,6 +483,13 @@ def doc_01_pipeline(spark, d):
     return out.select("doc_id", "size_bytes", "text_length", F.md5(F.col("index_text").cast("binary")).alias("index_md5"), "processing_status")
 
 
+@query("SELECT doc_id, CAST(coalesce(octet_length(encode(text)), 0) AS BIGINT) AS size_bytes, CAST(coalesce(length(text), 0) AS BIGINT) AS text_length, md5(CASE WHEN length(trim(text)) > 0 AND octet_length(encode(text)) <= 52428800 THEN substr(text, 1, 30000) END) AS index_md5, md5(CASE WHEN length(trim(text)) > 0 AND octet_length(encode(text)) <= 52428800 THEN text END) AS forward_md5, CASE WHEN text IS NULL OR octet_length(encode(text)) > 52428800 OR length(trim(text)) = 0 THEN 'ERROR' ELSE 'COMPLETED' END AS processing_status FROM documents")
+def doc_01_whole(spark, d):
+    """With the limits that production uses, and the text that is forwarded."""
+    out = documents.process(table(spark, d, "documents"))
+    return out.select("doc_id", "size_bytes", "text_length", F.md5(F.col("index_text").cast("binary")).alias("index_md5"), F.md5(F.col("forward_text").cast("binary")).alias("forward_md5"), "processing_status")
+
+
 @query("SELECT s_suppkey, s_name FROM supplier WHERE s_nationkey = 7 AND s_suppkey IN (0, 1, 2, 3, 4, 5, 6, 7, 8, 9)")
 def api_01_query(spark, d):
     service = QueryService(spark, {"supplier": f"{d}/supplier.parquet"}, "7", ("s_nationkey",))
