@@ -2,6 +2,8 @@
 
 import hashlib
 import json
+from collections import Counter
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,3 +143,32 @@ def test_documents_are_processed_whole(spark, tmp_path):
     assert [(got[i]["index_md5"], got[i]["forward_md5"]) for i in range(4)] == [(md5(texts[0][:30_000]), md5(texts[0])), (md5("short"), md5("short")), (None, None), (None, None)]
     gated = {r["doc_id"]: r["processing_error"] for r in documents.process(df, most_bytes=100).collect()}
     assert gated == {0: "TOO_LARGE", 1: None, 2: "EMPTY", 3: "NO_TEXT"}
+
+
+def _start(ts, grain):
+    day = ts.replace(hour=0, minute=0, second=0, microsecond=0)
+    return {"day": day, "week": day - timedelta(days=day.weekday()), "month": day.replace(day=1), "year": day.replace(month=1, day=1), "all": datetime(1970, 1, 1)}[grain]
+
+
+@pytest.mark.parametrize(("name", "hours", "same_user"), [("join_09_whole", 6, True), ("view_11_whole", 3, False)])
+def test_all_conditions_at_all_granularities(spark, sf, name, hours, same_user):
+    events = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts")).collect()
+    events = [(r["event_id"], r["user_id"], r["event_type"], datetime.fromisoformat(r["ts"])) for r in events]
+    want = Counter()
+    for cond, user, kind, start in events:
+        if kind != "signup":
+            continue
+        end = datetime.max if cond % 20 == 0 else start + timedelta(hours=hours)
+        inside = [(i, ts) for i, u, k, ts in events if k == "purchase" and (u == user or not same_user) and start <= ts <= end]
+        for grain in ("day", "week", "month", "year", "all"):
+            found = [i for i, ts in inside if _start(ts, grain) == _start(start, grain)]
+            want.update((cond, grain, str(_start(start, grain)), i) for i in found or [None])
+    key = "cond_id" if same_user else "cond"
+    got = Counter(tuple(r) for r in QUERIES[name](spark, sf).select(key, "bucket_granularity", "bucket_start", "event_id").collect())
+    assert got == want
+    assert len({k[0] for k in got}) == sum(e[2] == "signup" for e in events)
+
+
+@pytest.mark.parametrize("name", ["agg_01_whole", "view_06_whole", "view_07_whole", "view_09_whole"])
+def test_all_default_granularities(spark, sf, name):
+    assert {r[0] for r in QUERIES[name](spark, sf).select("bucket_granularity").distinct().collect()} - {None} == {"day", "week", "month", "year"}

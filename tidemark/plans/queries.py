@@ -182,6 +182,9 @@ def join_08_or_rewritten(spark, d):
     return joins.either_key(rows, table(spark, d, "supplier"), ("user_id", "s_suppkey"), ("k", "s_suppkey"), ["s_name"]).select("event_id", "s_name")
 
 
+#: The granularities of the views of conditions and alerts.
+_ALL_GRAINS = ("day", "week", "month", "year", "all")
+
 _SPANS = "SELECT event_id AS cond_id, user_id, ts AS starts, CASE WHEN event_id % 20 = 0 THEN NULL ELSE ts + INTERVAL 6 HOUR END AS ends FROM events WHERE event_type = 'signup' AND event_id % 10 = 0"
 
 
@@ -199,6 +202,16 @@ def join_09_bucket_interval(spark, d):
     return joins.bucket_interval(c, p, ["user_id", "bucket_granularity", "bucket_start"], "starts", "ends", "ts").select("cond_id", "bucket_granularity", text("bucket_start").alias("bucket_start"), "event_id")
 
 
+@query()
+def join_09_whole(spark, d):
+    """All conditions at all granularities."""
+    events = table(spark, d, "events")
+    conds = events.where("event_type = 'signup'").select(F.col("event_id").alias("cond_id"), "user_id", F.col("ts").alias("starts"), F.when(F.col("event_id") % 20 != 0, F.col("ts") + F.expr("INTERVAL 6 HOUR")).alias("ends"))
+    points = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    c, p = times.explode_grains(conds, "starts", _ALL_GRAINS), times.explode_grains(points, "ts", _ALL_GRAINS)
+    return joins.bucket_interval(c, p, ["user_id", "bucket_granularity", "bucket_start"], "starts", "ends", "ts").select("cond_id", "bucket_granularity", text("bucket_start").alias("bucket_start"), "event_id")
+
+
 @query("SELECT count(*) AS orders_of_active FROM orders WHERE o_custkey IN (SELECT user_id FROM events WHERE event_type = 'error')")
 def join_11_semi(spark, d):
     users = table(spark, d, "events").where("event_type = 'error'").select(F.col("user_id").alias("o_custkey"))
@@ -255,6 +268,12 @@ def agg_01_edges(spark, d):
     return out.select("bucket_granularity", text("bucket_start").alias("bucket_start"), "from_l_suppkey", "to_l_partkey", "tx_count", r4("total_amount").alias("total_amount"), "currency_hint", "active_window_sec", r4("tx_per_day").alias("tx_per_day"))
 
 
+@query(SQL["agg_01_edges"].replace(" UNION ALL ".join(_EDGE.format(g=g) for g in ("month", "year")), " UNION ALL ".join(_EDGE.format(g=g) for g in ("day", "week", "month", "year"))))
+def agg_01_whole(spark, d):
+    out = aggregates.edges(table(spark, d, "lineitem"), "l_suppkey", "l_partkey", "l_shipdate", "l_extendedprice", currency="l_returnflag")
+    return out.select("bucket_granularity", text("bucket_start").alias("bucket_start"), "from_l_suppkey", "to_l_partkey", "tx_count", r4("total_amount").alias("total_amount"), "currency_hint", "active_window_sec", r4("tx_per_day").alias("tx_per_day"))
+
+
 @query("SELECT user_id, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS bucket_start, count(*) AS bucket_tx_count, round(sum(value), 4) AS bucket_tx_amount FROM events WHERE event_type IN ('purchase', 'view') GROUP BY 1, 2")
 def agg_02_entity_rollup(spark, d):
     rows = times.explode_grains(table(spark, d, "events").where(F.col("event_type").isin("purchase", "view")), "ts", ("day",))
@@ -680,6 +699,14 @@ def view_06_history(spark, d):
     )
 
 
+@query(SQL["view_06_history"].replace("['month', 'year']", "['day', 'week', 'month', 'year']"))
+def view_06_whole(spark, d):
+    out = views.transaction_history(_detail(spark, d), payment_types=_PAYS)
+    return out.select(
+        "row_type", "transaction_id", "entity_type", "entity_role", "entity_id", "bucket_granularity", text("bucket_start").alias("bucket_start"), F.col("recent_rank_desc").cast("long").alias("recent_rank_desc"), "cum_tx_count", F.round("cum_tx_amount", 2).alias("cum_tx_amount"), "bucket_tx_count", F.round("bucket_tx_amount", 2).alias("bucket_tx_amount")
+    )
+
+
 @query(
     "SELECT g AS bucket_granularity, strftime(date_trunc(g, ts), '%Y-%m-%d %H:%M:%S') AS bucket_start, CAST(user_id AS VARCHAR) AS from_id, json_extract_string(props, '$.k') AS to_id, count(*) AS tx_count, round(sum(value), 2) AS total_amount, max(CASE WHEN value > 200 THEN 1 ELSE 0 END) AS investigated FROM events, (SELECT unnest(['day', 'month']) AS g) WHERE event_type IN ('purchase', 'view') GROUP BY ALL"
 )
@@ -688,12 +715,24 @@ def view_07_account_edges(spark, d):
     return out.select("bucket_granularity", text("bucket_start").alias("bucket_start"), F.col("from_debtor_account_id").alias("from_id"), F.col("to_creditor_account_id").alias("to_id"), "tx_count", F.round("total_amount", 2).alias("total_amount"), F.col("is_investigated_edge").alias("investigated"))
 
 
+@query(SQL["view_07_account_edges"].replace("['day', 'month']", "['day', 'week', 'month', 'year']"))
+def view_07_whole(spark, d):
+    out = views.network_edges(_detail(spark, d), "debtor_account_id", "creditor_account_id", payment_types=_PAYS)
+    return out.select("bucket_granularity", text("bucket_start").alias("bucket_start"), F.col("from_debtor_account_id").alias("from_id"), F.col("to_creditor_account_id").alias("to_id"), "tx_count", F.round("total_amount", 2).alias("total_amount"), F.col("is_investigated_edge").alias("investigated"))
+
+
 @query("SELECT 'c' || user_id AS from_id, CAST(user_id AS VARCHAR) AS to_id, strftime(date_trunc('month', ts), '%Y-%m-%d') AS bucket_start, count(*) AS tx_count FROM events WHERE user_id % 2 = 0 AND event_type IN ('purchase', 'view') GROUP BY ALL")
 def view_09_holder_links(spark, d):
     out = views.holder_links(_detail(spark, d), ("month",), _PAYS)
     return out.select(F.col("from_counterparty_id").alias("from_id"), F.col("to_account_id").alias("to_id"), F.date_format("bucket_start", "yyyy-MM-dd").alias("bucket_start"), "tx_count")
 
 
+@query("SELECT g AS bucket_granularity, 'c' || user_id AS from_id, CAST(user_id AS VARCHAR) AS to_id, strftime(date_trunc(g, ts), '%Y-%m-%d') AS bucket_start, count(*) AS tx_count FROM events, (SELECT unnest(['day', 'week', 'month', 'year']) AS g) WHERE user_id % 2 = 0 AND event_type IN ('purchase', 'view') GROUP BY ALL")
+def view_09_whole(spark, d):
+    out = views.holder_links(_detail(spark, d), payment_types=_PAYS)
+    return out.select("bucket_granularity", F.col("from_counterparty_id").alias("from_id"), F.col("to_account_id").alias("to_id"), F.date_format("bucket_start", "yyyy-MM-dd").alias("bucket_start"), "tx_count")
+
+
 @query(
     f"""WITH p AS (SELECT DISTINCT event_id, ts, value, entity_type, entity_id FROM ({_PARTY}) WHERE event_type = 'error'), g AS (SELECT unnest(['day', 'month', 'all']) AS g)
     SELECT entity_type, entity_id, g AS bucket_granularity, CASE WHEN g = 'all' THEN '1970-01-01 00:00:00' ELSE strftime(date_trunc(CASE WHEN g = 'all' THEN 'day' ELSE g END, ts), '%Y-%m-%d %H:%M:%S') END AS bucket_start,
@@ -718,6 +757,16 @@ def view_11_conditions_timeline(spark, d):
     return views.conditions_timeline(conds, tx, ("day",)).select("cond", F.col("transaction_id").cast("long").alias("event_id"))
 
 
+@query()
+def view_11_whole(spark, d):
+    """All conditions at all granularities."""
+    conds = table(spark, d, "events").where("event_type = 'signup'").select(
+        F.col("event_id").alias("cond"), F.col("event_id").cast("string").alias("pk"), F.lit("T1").alias("tenant_id"), F.col("ts").alias("condition_inception_ts"), F.when(F.col("event_id") % 20 != 0, F.col("ts") + F.expr("INTERVAL 3 HOUR")).alias("condition_expiry_ts"), F.lit("purchase,none").alias("event_types_csv")
+    )
+    tx = _detail(spark, d).where("tx_type in ('purchase', 'click')")
+    return views.conditions_timeline(conds, tx).select("cond", "bucket_granularity", text("bucket_start").alias("bucket_start"), F.col("transaction_id").cast("long").alias("event_id"))
+
+
 @query("SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS time_bucket FROM events GROUP BY 1 HAVING count(*) / nullif(count(*) FILTER (event_type <> 'error'), 0) * 100 NOT BETWEEN 95 AND 130")
 def met_14_anomalies(spark, d):
     events = table(spark, d, "events")
