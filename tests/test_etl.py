@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.plans import documents, evidence, views
 from tidemark.plans.etl import PIPELINES, dynamic, pipeline_for, typology_rules
 from tidemark.plans.queries import QUERIES
+from tidemark.sources.tables import SnapshotTable
 
 STATUS = {
     "TxTp": "pacs.002.001.12", "TenantId": "T1",
@@ -172,3 +173,20 @@ def test_all_conditions_at_all_granularities(spark, sf, name, hours, same_user):
 @pytest.mark.parametrize("name", ["agg_01_whole", "view_06_whole", "view_07_whole", "view_09_whole"])
 def test_all_default_granularities(spark, sf, name):
     assert {r[0] for r in QUERIES[name](spark, sf).select("bucket_granularity").distinct().collect()} - {None} == {"day", "week", "month", "year"}
+
+
+def test_age_changes_on_the_birthday(spark):
+    rows = [("1990-05-15", "2020-05-14", 29), ("1990-05-15", "2020-05-15", 30), ("1990-05-15", "2020-05-01", 29), ("2000-02-29", "2023-02-28", 22), ("2000-02-29", "2023-03-01", 23), ("2000-02-29", "2024-02-29", 24), ("1990-12-31", "1990-12-01", -1), ("x", "2020-01-01", None)]
+    df = spark.createDataFrame([(json.dumps({"BirthDt": b}), at, y) for b, at, y in rows], "doc string, at string, years int")
+    got = df.select("years", evidence.age_in_years("doc", "$.BirthDt", F.col("at").cast("date")).alias("age")).collect()
+    assert [r["age"] for r in got] == [y for _, _, y in rows]
+
+
+def test_all_orders_go_through_upsert(spark, sf, monkeypatch):
+    calls = []
+    upsert = SnapshotTable.upsert
+    monkeypatch.setattr(SnapshotTable, "upsert", lambda self, rows, instant=None: calls.append(rows.count()) or upsert(self, rows, instant))
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    got = QUERIES["snk_01_whole"](spark, sf)
+    assert calls == [orders.count(), orders.where("o_orderkey % 3 = 0").count()]
+    assert got.count() == orders.count() and got.where("o_orderkey % 3 = 0 and o_orderstatus <> 'F'").count() == 0

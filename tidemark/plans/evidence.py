@@ -46,9 +46,10 @@ def over_threshold(amount: Column, threshold: Column, fallback: float = 10_000.0
 
 
 def age_in_years(document: str | Column, path: str, at: Column) -> Column:
-    """Whole years from a birth date in a JSON document."""
+    """Whole years from a birth date in a JSON document; one born on 29 February is a year older on 1 March of other years."""
     born = F.try_to_timestamp(F.get_json_object(document, path)).cast("date")
-    return F.floor(F.months_between(at, born) / 12).cast("int")
+    before = F.struct(F.month(at), F.dayofmonth(at)) < F.struct(F.month(born), F.dayofmonth(born))
+    return (F.year(at) - F.year(born) - before.cast("int")).cast("int")
 
 
 def accounts_per_party(df: DataFrame, party: str, account: str) -> DataFrame:

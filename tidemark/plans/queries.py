@@ -9,6 +9,8 @@ that engines can be compared by value.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,6 +21,7 @@ from tidemark.operators import aggregates, columns, joins, quality, windows
 from tidemark.plans import calibration, documents, evidence, metrics, views
 from tidemark.plans.service import QueryService
 from tidemark.sources import readers
+from tidemark.sources.tables import SnapshotTable, TableSpec
 from tidemark.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -490,6 +493,17 @@ def snk_01_upsert(spark, d):
     return windows.latest_per_key(first.unionByName(second), ["o_orderkey"], [F.desc("batch")]).drop("batch")
 
 
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'F' ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM orders")
+def snk_01_whole(spark, d):
+    """All orders upserted into a keyed table, then an update that closes every third."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.gettempdir()
+    merged = SnapshotTable(spark, f"{shared.rstrip('/')}/snk_01_{uuid.uuid4().hex}", TableSpec("orders", ("o_orderkey",), "batch"))
+    merged.upsert(orders.withColumn("batch", F.lit(1)), "1")
+    merged.upsert(orders.where("o_orderkey % 3 = 0").withColumns({"o_orderstatus": F.lit("F"), "batch": F.lit(2)}), "2")
+    return merged.read().select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
 @query("SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n, round(sum(value), 2) AS amount FROM events GROUP BY 1, 2")
 def str_04_tumbling(spark, d):
     out = ingest.tumbling(table(spark, d, "events"), "ts", "1 hour", ["event_type"], [F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("amount")])
@@ -818,6 +832,17 @@ def rule_028_age(spark, d):
     return rows.select("event_id", evidence.age_in_years("doc", "$.a.BirthDt", F.to_date("ts")).alias("years"))
 
 
+@query(
+    """SELECT event_id, CAST(year(ts) - year(born) - CASE WHEN month(ts) < month(born) OR (month(ts) = month(born) AND day(ts) < day(born)) THEN 1 ELSE 0 END AS INTEGER) AS years
+    FROM (SELECT event_id, ts, DATE '1960-01-01' + CAST(event_id * 37 % 18000 AS INTEGER) AS born FROM events)"""
+)
+def rule_028_whole(spark, d):
+    """All events, each with a birth date of its own."""
+    born = F.date_add(F.lit("1960-01-01").cast("date"), (F.col("event_id") * 37 % 18000).cast("int"))
+    rows = table(spark, d, "events").withColumn("doc", F.to_json(F.struct(F.struct(born.cast("string").alias("BirthDt")).alias("a"))))
+    return rows.select("event_id", evidence.age_in_years("doc", "$.a.BirthDt", F.to_date("ts")).alias("years"))
+
+
 @query("SELECT event_type, count(*) AS n, count(*) FILTER (json_extract_string(props, '$.k') IS NOT NULL) AS with_k FROM events GROUP BY 1")
 def agg_17_coverage(spark, d):
     return table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count(F.get_json_object("props", "$.k")).alias("with_k"))
