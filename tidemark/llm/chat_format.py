@@ -26,7 +26,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import hold, slices
 
 TURN, SEP, END = "<|turn|>", "<|sep|>", "<|end|>"
 #: Strings that must not occur in formatted content; fixed values.
@@ -56,19 +56,18 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return [(unescape(a), unescape(b)) for a, b in _SPLIT.findall(formatted)]
 
 
-_encodings: dict[str, object] = {}
-
-
 def encoding(path: str):
     """The byte-level tokenizer of a tiktoken rank file, one per process."""
-    if path not in _encodings:
+
+    def make():
         import public_tokenizers
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _encodings[path] = tiktoken.Encoding("chat", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _encodings[path]
+        return tiktoken.Encoding("chat", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    return hold(("encoding", path), make)
 
 
 def reserved_ids(path: str) -> dict[str, int]:

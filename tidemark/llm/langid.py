@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, text_or_empty
+from tidemark.llm.common import hold, slices, text_or_empty
 
 DIMENSIONS = 1024
 N = 3
@@ -34,27 +34,24 @@ BLOCK = 8192
 #: Fixed-point unit of learned sums, so that they don't depend on the order of adding.
 UNIT = 1 << 24
 
-_letters: dict[int, object] = {}
-_alpha = None
 
 
 def letter_vector(code: int):
     """The vector of a code point; 0 stands for any run of non-letters."""
     import numpy as np
 
-    if code not in _letters:
+    letters = _tables()[0]
+    if code not in letters:
         bits = np.random.Generator(np.random.Philox(key=code)).integers(0, 2, DIMENSIONS, dtype=np.int8)
-        _letters[code] = (2 * bits - 1).astype(np.int8)
-    return _letters[code]
+        letters[code] = (2 * bits - 1).astype(np.int8)
+    return letters[code]
 
 
-def _is_letter():
-    global _alpha
+def _tables():
+    """The vectors of letters met so far, and which code points are letters."""
     import numpy as np
 
-    if _alpha is None:
-        _alpha = np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000)
-    return _alpha
+    return hold("letters", lambda: ({}, np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000)))
 
 
 def ngram_codes(texts: list[str]):
@@ -69,7 +66,7 @@ def ngram_codes(texts: list[str]):
     lowered = [f" {t.lower()} " for t in texts]
     points = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     parts = np.repeat(np.arange(len(texts)), [len(t) for t in lowered])
-    letter = _is_letter()[points]
+    letter = _tables()[1][points]
     first = np.ones(len(points), dtype=bool)
     first[1:] = parts[1:] != parts[:-1]
     keep = letter | first

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_lineage, shuffle_partitions, slices, text_or_empty
+from tidemark.llm.common import cut_lineage, hold, shuffle_partitions, slices, text_or_empty
 
 #: Slots of a fingerprint.
 SLOTS = 64
@@ -75,19 +75,19 @@ def parse_on(points: list[int], ends: list[int], known: dict[int, int], start: i
     return out
 
 
-_powers = None
+#: Length of the kept tables of powers; a longer text gets tables of its own, for as long as it is worked on.
+KEPT_POWERS = 1 << 18
 
 
 def _tables(size: int):
-    global _powers
     import numpy as np
 
-    if _powers is None or len(_powers[0]) < size:
-        size = max(size, 1 << 18)
+    def make(size):
         base, inverse = 0x100000001B3, pow(0x100000001B3, -1, 1 << 64)
         with np.errstate(over="ignore"):
-            _powers = tuple(np.concatenate([[np.uint64(1)], np.multiply.accumulate(np.full(size - 1, np.uint64(b)))]) for b in (base, inverse))
-    return _powers
+            return tuple(np.concatenate([[np.uint64(1)], np.multiply.accumulate(np.full(size - 1, np.uint64(b)))]) for b in (base, inverse))
+
+    return make(size) if size > KEPT_POWERS else hold("phrase powers", lambda: make(KEPT_POWERS))
 
 
 def _mix(x):

@@ -34,7 +34,7 @@ from bisect import bisect_right
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_lineage, slices, text_or_empty
+from tidemark.llm.common import cut_lineage, hold, slices, text_or_empty
 
 CAPACITY = 4096
 #: Remembered chunks per Python process, after which the cache starts anew, and the size of the table of chunks met once.
@@ -55,7 +55,6 @@ _LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha())
 _NUMBERS = "".join(c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == "N")
 #: The tokenizer's own split pattern (fixed value), its classes spelled out for the plain range.
 _WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+")
-_models: dict[str, object] = {}
 
 
 class Encoder:
@@ -134,9 +133,7 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    if path not in _models:
-        _models[path] = Encoder(path)
-    return _models[path]
+    return hold(("encoder", path), lambda: Encoder(path))
 
 
 def encode_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 1, with_ids: bool = False, id_col: str = "doc_id", text: str = "text") -> DataFrame:

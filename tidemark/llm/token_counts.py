@@ -23,21 +23,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, text_or_empty
+from tidemark.llm.common import hold, slices, text_or_empty
 
 MARK = "▁"
 #: Remembered pre-tokens per Python process; the cache starts anew beyond it.
 CACHE_ENTRIES = 200_000
 
-_models: dict[str, object] = {}
-
-
 def model(path: str):
-    if path not in _models:
+    def make():
         import sentencepiece
 
-        _models[path] = sentencepiece.SentencePieceProcessor(model_file=path)
-    return _models[path]
+        return sentencepiece.SentencePieceProcessor(model_file=path)
+
+    return hold(("pieces", path), make)
 
 
 def prepare(path: str) -> dict:
@@ -118,9 +116,6 @@ class Counter:
         return out
 
 
-_counters: dict[str, Counter] = {}
-
-
 def count_tokens(docs: DataFrame, path: str, limit: int = 4096, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, n_bytes, n_tokens, over_limit`` of every row."""
     # bounded by the vocabulary: tens of thousands of short strings
@@ -129,10 +124,9 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 4096, id_col: str = "d
     def run(batches):
         import pyarrow as pa
 
-        if path not in _counters:
-            _counters[path] = Counter(path, facts.value)
+        counter = hold(("counter", path), lambda: Counter(path, facts.value))
         for part in slices(batches):
-            counts = _counters[path].count(part.column("text").to_pylist())
+            counts = counter.count(part.column("text").to_pylist())
             yield pa.record_batch([part.column("id"), part.column("n_bytes"), pa.array(counts, pa.int64())], names=["id", "n_bytes", "n_tokens"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.octet_length(text_or_empty(text)).cast("long").alias("n_bytes"), text_or_empty(text).alias("text"))

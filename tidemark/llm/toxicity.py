@@ -43,7 +43,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_lineage, slices, text_or_empty
+from tidemark.llm.common import Scratch, free_name, hold, slices, text_or_empty
 
 #: Labelled documents of each class that fitting reads, at most.
 SAMPLE_DOCS = 3000
@@ -230,16 +230,17 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
         some = known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)
         sample = some if sample is None else sample.unionByName(some)
     learned = docs.select(F.col(id_col).alias("id"), F.lower(text_or_empty(text)).alias("text")).join(F.broadcast(sample), "id")
-    learned = cut_lineage(learned)  # read four times
+    scratch = Scratch(docs.sparkSession)
+    learned = scratch.cut(learned)  # read four times
 
     # document frequency of words in each class; near copies, which agree on the least or greatest hash of five words in a row, count once
     runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - 4, F.lit(1))), lambda i: F.xxhash64(F.slice("words", i, 5)))
     single = learned.select("y", F.split("text", _BETWEEN).alias("words")).withColumn("runs", runs)
     single = single.select("y", F.array_distinct("words").alias("words"), F.array_min("runs").alias("low"), F.array_max("runs").alias("high"))
-    single = cut_lineage(single.dropDuplicates(["y", "low"]).dropDuplicates(["y", "high"]))
+    single = scratch.cut(single.dropDuplicates(["y", "low"]).dropDuplicates(["y", "high"]))
     n1, n0 = (max(1, single.where(F.col("y") == y).count()) for y in (1, 0))
     by_word = single.select("y", F.explode("words").alias("word")).where("word <> ''").groupBy("word").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
-    by_word = cut_lineage(by_word)
+    by_word = scratch.cut(by_word)
 
     def gram_counts(batches):
         import pyarrow as pa
@@ -314,6 +315,7 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
             model.ordinary = b" ".join([b"", *reversed(wrong), content])
 
     rows = score_features(learned, model, "text", ["y"]).select("y", "features").collect()
+    scratch.drop(learned, single, by_word)
     x, y = np.array([r["features"] for r in rows], dtype=np.float64), np.array([r["y"] for r in rows], dtype=np.float64)
     if len(set(y.tolist())) < 2:
         return Model(base=share)
@@ -324,9 +326,6 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
     return model
 
 
-_distances: dict[int, Distance] = {}
-
-
 def score_features(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, name: str = "features") -> DataFrame:
     """The columns ``keep`` (all, by default) of ``docs`` and an array ``name`` of feature values."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of bounded size
@@ -337,10 +336,7 @@ def score_features(docs: DataFrame, model: Model, text: str = "text", keep: list
     def run(batches):
         import pyarrow as pa
 
-        if token not in _distances:
-            _distances.clear()
-            _distances[token] = Distance(shared.value)
-        features = _distances[token].features
+        features = hold(("distance", token), lambda: Distance(shared.value)).features
         for part in slices(batches):
             values = pa.array([features(t or "") for t in part.column(reads).to_pylist()], pa.list_(pa.float64()))
             yield pa.record_batch([*(part.column(f"_{i}") for i in range(len(kept))), values], names=[*(f"_{i}" for i in range(len(kept))), "out"])
@@ -356,7 +352,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
     if not model.weights:
         scored = docs.select(*kept, F.lit(float(model.base)).alias(names[0]))
     else:
-        terms = [F.col("_features")[i] * F.lit(w) for i, w in enumerate(model.weights)]
-        scored = score_features(docs, model, text, kept, "_features")
+        name = free_name("features", docs.columns)
+        scored = score_features(docs, model, text, kept, name)
+        terms = [F.col(name)[i] * F.lit(w) for i, w in enumerate(model.weights)]
         scored = scored.select(*kept, (1 / (1 + F.exp(-sum(terms[1:], terms[0])))).alias(names[0]))
     return scored.withColumn(names[1], (F.col(names[0]) >= threshold).cast("int"))
