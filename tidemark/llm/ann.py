@@ -117,18 +117,22 @@ def _rank_block(k: int):
         q, v = _matrix(queries.column("v").combine_chunks()), _matrix(vectors.column("v").combine_chunks())
         ids = vectors.column("ids").to_pylist()
         lowest = np.array([i[0] for i in ids], dtype=np.int64)
-        tops = []
+        # a row for each query and near vector; numpy columns, no object for each
+        rows, places, scores = [], [], []
         for at in range(0, len(q) if len(v) else 0, 256):
             near = q[at : at + 256] @ v.T
             edge = np.partition(near, len(v) - min(k + 1, len(v)), axis=1)[:, len(v) - min(k + 1, len(v))]
-            for row, low, x in zip(near, edge, q[at : at + 256], strict=True):
-                some = np.flatnonzero(row >= low - 1e-9)
+            # the product of matrices may add up in another order than the exact one
+            slack = 1e-12 * np.abs(q[at : at + 256]).sum(axis=1) * np.abs(v).max()
+            for i, (row, low, x) in enumerate(zip(near, edge - slack, q[at : at + 256], strict=True)):
+                some = np.flatnonzero(row >= low)
                 exact = (v[some] * x).sum(axis=1)
                 best = np.lexsort((lowest[some], -exact))[: k + 1]
-                tops.append([{"score": float(exact[b]), "ids": ids[some[b]]} for b in best])
-        n = len(tops)
-        kind = pa.list_(pa.struct([("score", pa.float64()), ("ids", pa.list_(pa.int64()))]))
-        return pa.table({"h1": queries.column("h1").slice(0, n), "h2": queries.column("h2").slice(0, n), "top": pa.array(tops, kind)})
+                rows.append(np.full(len(best), at + i))
+                places.append(some[best])
+                scores.append(exact[best])
+        rows, places, scores = (np.concatenate(x) if x else np.zeros(0, dtype=kind) for x, kind in ((rows, np.int64), (places, np.int64), (scores, np.float64)))
+        return pa.table({"h1": queries.column("h1").combine_chunks().take(pa.array(rows)), "h2": queries.column("h2").combine_chunks().take(pa.array(rows)), "score": pa.array(scores), "ids": vectors.column("ids").combine_chunks().take(pa.array(places))})
 
     return rank
 
@@ -190,11 +194,13 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, trees: int = TREE
     left = probe.join(blocks, spot).select("h1", "h2", "v", *spot, qb.alias("qb"), F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("vb"))
     right = index.join(blocks, spot).select("ids", "v", *spot, vb.alias("vb"), F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("qb"))
     key = [*spot, "vb", "qb"]
-    ranked = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_rank_block(k), "h1 long, h2 long, top array<struct<score:double,ids:array<long>>>")
+    ranked = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_rank_block(k), "h1 long, h2 long, score double, ids array<long>")
 
-    merged = ranked.groupBy("h1", "h2").agg(F.array_distinct(F.flatten(F.collect_list("top"))).alias("top"))
-    merged = merged.select("h1", "h2", F.array_sort(F.transform("top", lambda t: F.struct((-t["score"]).alias("d"), t["ids"].alias("ids")))).alias("top"))
-    merged = cut_lineage(merged.select("h1", "h2", F.slice("top", 1, k + 1).alias("top")))
+    # a vector may come from several trees: equal rows share a dense rank, so the limit holds before the shuffle as well
+    best = Window.partitionBy("h1", "h2").orderBy(F.desc("score"), F.col("ids")[0])
+    merged = ranked.withColumn("place", F.dense_rank().over(best)).where(F.col("place") <= k + 1).dropDuplicates(["h1", "h2", "place"])
+    merged = merged.groupBy("h1", "h2").agg(F.collect_list(F.struct((-F.col("score")).alias("d"), "ids")).alias("top"))  # at most k + 1 of each
+    merged = cut_lineage(merged)
     flat = F.flatten(F.transform("top", lambda t: F.transform(t["ids"], lambda i: F.struct(t["d"].alias("d"), i.alias("id")))))
     found = asking.withColumnRenamed("id", "query_id").join(merged, ["h1", "h2"])
     found = found.select("query_id", F.slice(F.filter(F.array_sort(flat), lambda x: x["id"] != F.col("query_id")), 1, k).alias("found"))

@@ -52,14 +52,21 @@ class Scratch:
         files.mkdirs(path)
         files.deleteOnExit(path)
 
-    def cut(self, df: DataFrame) -> DataFrame:
+    def cut(self, df: DataFrame, few: bool = False) -> DataFrame:
         """``df`` written as a Parquet table and read back.
 
         Later jobs then start from replicated files instead of recomputing, and
-        a lost executor costs nothing that was already written.
+        a lost executor costs nothing that was already written. With ``few``
+        the partitions of the last shuffle are put together up to the advised
+        size, so that a small table is one file and not one for each core.
         """
-        path = f"{self.folder}/{len(self.made)}"
-        df.write.parquet(path)
+        path, name = f"{self.folder}/{len(self.made)}", "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+        before = self.spark.conf.get(name)
+        try:
+            self.spark.conf.set(name, "false" if few else before)
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(name, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.made[path] = out
         return out

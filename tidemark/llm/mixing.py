@@ -8,8 +8,9 @@ when the budget of words is spent gives each source its target share.
 
 Nothing is ordered in one task: the running word count of a source is built
 from the sums of hashed buckets plus a window inside each bucket, and the stop
-is found from the word sums of narrow ranges of finish times plus a running
-sum inside the one range where the budget ends.
+is found from the word sums of narrow ranges of finish times, narrowed again
+while the range where the budget ends holds many copies, plus a running sum
+inside the last one.
 
 Defined results
 ---------------
@@ -24,10 +25,12 @@ Defined results
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_lineage, shuffle_partitions
+from tidemark.llm.common import cut_lineage, free_name, shuffle_partitions
 
 #: Weights by order of source, repeating.
 WEIGHTS = (1, 2, 3)
@@ -35,8 +38,8 @@ WEIGHTS = (1, 2, 3)
 MOST_ROUNDS = 3
 #: Documents of a source that share one hashed bucket, on average.
 BUCKET_ROWS = 4096
-#: Ranges of finish time among which the end of the budget is looked for.
-TIME_RANGES = 1 << 14
+#: Ranges of finish time among which the end of the budget is looked for, up to which time they are even, and copies of a range that are few enough to be summed one by one.
+TIME_RANGES, FAR_FINISH, EDGE_ROWS = 1 << 14, 4.0, 1 << 15
 
 
 def word_count(text: Column) -> Column:
@@ -101,14 +104,16 @@ def mix_report(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sour
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", seed: int = 0, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
     queue, copies = _mix(docs, id_col, text, source, seed, **{"share": 1.0, "weights": WEIGHTS, "most": MOST_ROUNDS} | options)
-    taken = queue.join(copies.groupBy("row_key").agg(F.count("*").alias("_copies")), "row_key").groupBy(F.col(id_col).alias("_id"), F.col("content").alias("_content"))
-    taken = cut_lineage(taken.agg(F.sum("_copies").alias("_copies"), F.count("*").alias("_rows")))
+    key, content, count, several, copy = (free_name(n, docs.columns) for n in ("key", "content", "copies", "rows", "copy"))
+    per_row = copies.groupBy("row_key").agg(F.count("*").alias("n"))
+    taken = queue.join(per_row, "row_key").groupBy(F.col(id_col).alias(key), F.col("content").alias(content))
+    taken = cut_lineage(taken.agg(F.sum("n").alias(count), F.count("*").alias(several)))
     rows = docs
-    if taken.where("_rows > 1").limit(1).count():  # rows alike in id, text and source: one of them stands for all
-        rows = docs.withColumns({"_i": docs[id_col], "_c": _content(text, source)}).dropDuplicates(["_i", "_c"]).drop("_i", "_c")
+    if taken.where(F.col(several) > 1).limit(1).count():  # rows alike in id, text and source: one of them stands for all
+        rows = docs.withColumns({key: docs[id_col], content: _content(text, source)}).dropDuplicates([key, content]).drop(key, content)
     taken = taken.hint("merge")  # texts go by merge join at every size, so that the plan is the one that was measured
-    rows = rows.join(taken, rows[id_col].eqNullSafe(taken["_id"]) & (_content(text, source) == taken["_content"]))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*[docs[c] for c in docs.columns])
+    rows = rows.join(taken, rows[id_col].eqNullSafe(taken[key]) & (_content(text, source) == taken[content]))
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(count).cast("int")))).select(*docs.columns)
 
 
 def _content(text: str, source: str) -> Column:
@@ -155,15 +160,23 @@ def _mix(docs, id_col, text, source, seed, share, weights, most):
         .withColumn("finish", (F.col("round") * F.col("source_size") + F.col("served")) / F.col("target"))
     )
     budget = int(round((targets.agg(F.sum("target")).first()[0] or 0.0)))
-    slot = F.least(F.floor(F.col("finish") * (TIME_RANGES // 4)), F.lit(TIME_RANGES - 1)).cast("int")
-    copies = copies.withColumn("slot", slot)
-    by_slot = copies.groupBy("slot").agg(F.sum("size").alias("words")).withColumn("upto", F.sum("words").over(Window.orderBy("slot")))  # at most TIME_RANGES rows
-    edge = by_slot.where(F.col("upto") >= budget).agg(F.min(F.struct("slot", "upto", "words")).alias("e")).first()["e"]
-    if edge is None:
-        return queue, copies.drop("slot")
+    # the finish times among which the budget ends, narrowed until few copies are left in them
+    low, high, spent = 0.0, FAR_FINISH, 0
+    while True:
+        slot = F.least(F.greatest(F.floor((F.col("finish") - low) / (high - low) * TIME_RANGES), F.lit(0)), F.lit(TIME_RANGES - 1)).cast("int")
+        inside = copies.where(F.col("finish") >= low) if high == FAR_FINISH else copies.where((F.col("finish") >= low) & (F.col("finish") < high))
+        by_slot = inside.groupBy(slot.alias("slot")).agg(F.sum("size").alias("words"), F.count("*").alias("n"), F.min("finish").alias("first"), F.max("finish").alias("last"))
+        by_slot = by_slot.withColumn("upto", F.sum("words").over(Window.orderBy("slot")))  # at most TIME_RANGES rows
+        edge = by_slot.where(F.col("upto") >= budget - spent).agg(F.min(F.struct("slot", "upto", "words", "n", "first", "last")).alias("e")).first()["e"]
+        if edge is None:
+            return queue, copies
+        spent += edge["upto"] - edge["words"]
+        low, high = edge["first"], math.nextafter(edge["last"], math.inf)
+        if edge["n"] <= EDGE_ROWS or edge["first"] == edge["last"]:
+            break
     run = Window.orderBy("finish", "row_key", "round").rowsBetween(Window.unboundedPreceding, 0)
-    last = copies.where(F.col("slot") == edge["slot"]).withColumn("run", F.sum("size").over(run)).where(F.col("run") <= budget - (edge["upto"] - edge["words"])).drop("run")
-    return queue, copies.where(F.col("slot") < edge["slot"]).unionByName(last).drop("slot")
+    last = copies.where((F.col("finish") >= low) & (F.col("finish") < high)).withColumn("run", F.sum("size").over(run)).where(F.col("run") <= budget - spent).drop("run")
+    return queue, copies.where(F.col("finish") < low).unionByName(last)
 
 
 def _on_source(rows: DataFrame, table: DataFrame) -> DataFrame:

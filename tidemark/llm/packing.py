@@ -7,14 +7,17 @@ whatever the size of the corpus. The plan is made on that histogram:
 
 * best-fit decreasing gives an incumbent;
 * bin completion goes through the lengths from the largest: it enumerates the
-  undominated fillings of the room beside the largest piece, takes the one
-  that wastes least, applies it as often as the counts allow, and backtracks
-  over the next fillings while the waste so far leaves room for a better
-  packing than the incumbent;
-* a packing that meets the bound ``ceil(words / capacity)`` ends the search.
-
-A plan step uses up at least one length, so there are at most ``capacity``
-steps. Pieces get a rank among those of their length (from salted counts, so a
+  undominated fillings of the room beside the largest piece, least waste
+  first, applies each as often as the counts allow and then once, and
+  backtracks over all others while the waste so far, and a lower bound for
+  what is left, allow a better packing than the incumbent; what was left over
+  before with no fewer sequences used is not searched again;
+* a packing that meets the Martello-Toth bound ends the search, and so does
+  the number of steps ``SEARCH_STEPS`` (packing is NP-hard); without the latter
+  the packing is the smallest there is.
+
+A pattern applied as often as it fits uses up at least one length, so a plan
+has about ``capacity`` rows. Pieces get a rank among those of their length (from salted counts, so a
 hot length is spread) and find sequence and offset from it by binary search.
 
 Defined results
@@ -39,11 +42,10 @@ from tidemark.llm.common import cut_lineage, hold, slices, text_or_empty
 CAPACITY = 4096
 #: Remembered chunks per Python process, after which the cache starts anew, and the size of the table of chunks met once.
 CACHE_ENTRIES, MARK_BITS = 400_000, 22
-#: Parts into which the pieces of one length are dealt for ranking.
-SALTS = 256
-#: Steps of the search for one filling, and of all fillings together, before the incumbent stands.
-FILLING_STEPS = 1_000
-SEARCH_STEPS = 200_000
+#: Pieces of one length that are ranked together, on average; a length with more is dealt into parts.
+SALT_ROWS = 1 << 16
+#: Steps of the search, after which the incumbent stands even if no proof is found that it is the smallest packing.
+SEARCH_STEPS = 300_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -202,109 +204,179 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...
     return [(p, n) for groups in open_bins.values() for p, n in groups]
 
 
-def fillings(counts: dict[int, int], room: int, most: int = 3) -> tuple[list[tuple[int, ...]], int]:
-    """Up to ``most`` undominated fillings of ``room``, least waste first, and the steps it took.
+def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """Sequences that any packing needs, the best of the Martello-Toth bounds.
 
-    Depth first from the largest piece that fits; a branch ends when even all
-    of the remaining room would not waste less than the best found. One piece
-    that fills the room exactly dominates every other filling.
+    For every k up to half the capacity: pieces longer than ``capacity - k``
+    share no sequence with pieces of at least k, pieces over half the capacity
+    share none with one another, and what lies between must fill the room they
+    leave or new sequences. With k = 0 it is ``ceil(total / capacity)`` at least.
+    """
+    import numpy as np
+
+    half, many = capacity // 2, np.zeros(capacity + 2, dtype=np.int64)
+    many[list(counts)] = list(counts.values())
+    upto, words = np.cumsum(many), np.cumsum(many * np.arange(capacity + 2))
+    k = np.arange(half + 1)
+    alone = upto[-1] - upto[capacity - k]
+    paired, paired_words = upto[capacity - k] - upto[half], words[capacity - k] - words[half]
+    small = words[half] - np.concatenate([[0], words])[k]
+    return int((alone + paired + np.maximum(0, -((paired * capacity - paired_words - small) // capacity))).max())
+
+
+def dominated(sums: int, several: int, spare: int, waste: int) -> bool:
+    """Whether a piece that was left out could take the place of some that were taken.
+
+    All are bit sets over lengths: ``sums`` has the totals of all subsets of
+    what was taken, the empty one included, ``several`` those of two pieces or
+    more, ``spare`` the lengths left out. A longer piece that fits in with the
+    ``waste``, or one exactly as long as several, makes a filling at least as good.
+    """
+    if spare & several:
+        return True
+    near, far = sums << 1, 1  # sums moved by 1 to far
+    while far < waste:
+        step = min(far, waste - far)
+        near, far = near | near << step, far + step
+    return bool(waste and spare & near)
+
+
+def fillings(counts: dict[int, int], room: int, most_waste, spend):
+    """All undominated fillings of ``room``, least waste first, made one by one.
+
+    ``most_waste()`` is the waste that is still of use, asked for as fillings
+    are drawn; ``spend(n)`` is told of every step. For each waste, sizes are
+    gone through from the largest; which sums the smaller ones can still reach
+    is known beforehand, so that every branch ends in a filling, unless it is
+    found to be dominated first.
     """
-    if counts.get(room):
-        return [(room,)], 1
     sizes = sorted((s for s in counts if s <= room and counts[s]), reverse=True)
-    if not sizes:
-        return [()], 1
-    smallest, found, steps = sizes[-1], [], 0
-    negative = [-s for s in sizes]
-
-    def descend(at, left, taken):
-        nonlocal steps
-        steps += 1
-        if left < smallest or at >= len(sizes):
-            found.append((left, taken))
-            return left == 0
-        # the first size that fits: anything larger is out, anything smaller is dominated unless it fits better
-        at = max(at, bisect_right(negative, -left - 1))
-        branched = False
-        while at < len(sizes):
-            size = sizes[at]
-            if steps > FILLING_STEPS:
-                break
-            if taken.count(size) < counts[size]:
-                branched = True
-                if descend(at, left - size, taken + (size,)):
-                    return True
-                # a smaller piece here only pays off if the rest can still fill what it leaves
-                if found and min(found)[0] == 0:
-                    return True
-            at += 1
-        if not branched:
-            found.append((left, taken))
-        return False
-
-    descend(0, room, ())
-    best, seen = [], set()
-    for waste, taken in sorted(found, key=lambda x: (x[0], len(x[1]))):
-        if taken not in seen:
-            seen.add(taken)
-            best.append(taken)
-        if len(best) == most:
-            break
-    return best or [()], steps
-
-
-def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns and how often each is used, over all pieces of the histogram."""
+    full = (1 << (room + 1)) - 1
+    reach = [1] * (len(sizes) + 1)  # bit s: the sizes from here on have a sum s
+    for i in range(len(sizes) - 1, -1, -1):
+        size, left, bits, each = sizes[i], min(counts[sizes[i]], room // sizes[i]), reach[i + 1], 1
+        while left:
+            each = min(each, left)
+            bits |= (bits << each * size) & full
+            left, each = left - each, each * 2
+        reach[i] = bits
+    rest = [0] * (len(sizes) + 1)  # the sizes from here on
+    for i in range(len(sizes) - 1, -1, -1):
+        rest[i] = rest[i + 1] | 1 << sizes[i]
+    spend(len(sizes) + 1)
+
+    def go(i, left, taken, sums, several, spare, waste):
+        if not left:
+            if not dominated(sums, several, spare | rest[i], waste):
+                yield taken
+            return
+        while i < len(sizes) and reach[i] >> left & 1:
+            size = sizes[i]
+            if size <= left:
+                most = min(counts[size], left // size)
+                more = [(sums, several)]
+                for _ in range(most):
+                    x, y = more[-1]
+                    more.append(((x | x << size) & full, (y | (y | x & ~1) << size) & full))
+                for n in range(most, 0, -1):
+                    spend(1)
+                    x, y = more[n]
+                    skipped = spare | (1 << size if n < counts[size] else 0)
+                    if reach[i + 1] >> (left - n * size) & 1 and not dominated(x, y, skipped, waste):
+                        yield from go(i + 1, left - n * size, taken + (size,) * n, x, y, skipped, waste)
+            spare |= 1 << size
+            i += 1
+            spend(1)
+            if dominated(sums, several, spare, waste):
+                return
+
+    waste = 0
+    while waste <= min(room, most_waste()):
+        if reach[0] >> (room - waste) & 1:
+            yield from go(0, room - waste, (), 1, 0, 0, waste)
+        waste += 1
+
+
+class _Spent(Exception):
+    pass
+
+
+def plan(counts: dict[int, int], capacity: int = CAPACITY, steps: int = SEARCH_STEPS) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns and how often each is used, over all pieces of the histogram.
+
+    The packing is the smallest there is, unless the search takes more than
+    ``steps`` steps; then it is the best that was found.
+    """
+    import random
+
     counts = {int(s): int(n) for s, n in counts.items() if n}
     if not counts:
         return []
     total = sum(s * n for s, n in counts.items())
-    bound = -(-total // capacity)
+    bound = lower_bound(counts, capacity)
     best = best_fit(counts, capacity)
     most = sum(n for _, n in best)
-    steps = 0
-    stack: list[list] = []  # [remaining fillings, pattern applied, times]
-    left, waste, taken = dict(counts), 0, 0
-
-    def apply(pattern, sign, times):
+    rng = random.Random(0)
+    sign = {s: rng.getrandbits(128) | 1 for s in counts}  # the state of what is left is a sum of these
+    left, state = dict(counts), sum(sign[s] * n for s, n in counts.items())
+    waste, taken, spent = 0, 0, 0
+    seen: dict[int, int] = {}
+    stack: list[list] = []  # [fillings to come, pattern applied, times, whether to apply it once as well]
+
+    def spend(n):
+        nonlocal spent
+        spent += n
+        if spent > steps:
+            raise _Spent
+
+    def allowed():
+        return (most - 1) * capacity - total - waste
+
+    def apply(pattern, times):
+        nonlocal state, waste, taken
         for s in pattern:
-            left[s] = left.get(s, 0) - sign * times
+            left[s] = left.get(s, 0) - times
+            state -= sign[s] * times
             if not left[s]:
                 del left[s]
-
-    while most > bound and steps < SEARCH_STEPS:
-        steps += 1
-        if not left:
-            if taken < most:
-                best, most = [(p, n) for _, p, n in stack], taken
-        # waste that a packing better than the incumbent may still have
-        elif taken < most and waste <= (most - 1) * capacity - total:
-            largest = max(left)
-            apply((largest,), 1, 1)
-            options, cost = fillings(left, capacity - largest)
-            steps += cost
-            apply((largest,), -1, 1)
-            stack.append([options, (), 0])
-        while stack:
-            options, pattern, times = stack[-1]
-            if pattern:
-                apply(pattern, -1, times)
-                waste -= (capacity - sum(pattern)) * times
-                taken -= times
-                stack[-1][1:] = [(), 0]
-            if not options:
-                stack.pop()
-                continue
-            pattern = (max(left), *options.pop(0))
-            uses = {s: pattern.count(s) for s in pattern}
-            times = min(left[s] // n for s, n in uses.items())
-            apply(pattern, 1, times)
-            waste += (capacity - sum(pattern)) * times
-            taken += times
-            stack[-1][1:] = [pattern, times]
-            break
-        else:
-            break
+        waste += (capacity - sum(pattern)) * times
+        taken += times
+
+    def options():
+        largest = max(left)
+        others = {s: n - (s == largest) for s, n in left.items()}
+        # what was learned on the way back may allow less waste than when the branch began
+        return ((largest, *f) for f in fillings({s: n for s, n in others.items() if n}, capacity - largest, allowed, spend))
+
+    try:
+        while most > bound:
+            spend(1)
+            if not left:
+                if taken < most:
+                    best, most = [(p, n) for _, p, n, _ in stack], taken
+            elif seen.get(state, most) > taken and allowed() >= 0 and taken + lower_bound(left, capacity) < most:
+                seen[state] = taken
+                stack.append([options(), (), 0, False])
+            while stack:
+                top = stack[-1]
+                if top[1]:
+                    apply(top[1], -top[2])
+                pattern, once = top[1], top[3]
+                if once:  # after as often as it fits: once, then any other filling
+                    top[2:] = [1, False]
+                else:
+                    pattern = next(top[0], None)
+                    if pattern is None:
+                        stack.pop()
+                        continue
+                    times = min(left[s] // pattern.count(s) for s in set(pattern))
+                    top[1:] = [pattern, times, times > 1]
+                apply(pattern, top[2])
+                break
+            else:
+                break
+    except _Spent:
+        pass
     return best
 
 
@@ -341,14 +413,15 @@ def place(sizes, ranks, table):
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; ``pieces`` should be a written table, it is read twice."""
-    salt = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int")
-    salted = pieces.withColumn("salt", salt)
+    # at most a row per length up to the capacity
+    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    table = pieces.sparkSession.sparkContext.broadcast(slots(plan(counts, capacity)))
+
+    parts = pieces.sparkSession.createDataFrame([(s, -(-n // SALT_ROWS)) for s, n in counts.items()], "length long, parts long")
+    salted = pieces.join(F.broadcast(parts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("parts"))).drop("parts")
     per_salt = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     per_salt = cut_lineage(per_salt.withColumn("skip", F.coalesce(F.sum("n").over(before), F.lit(0))))
-    # at most a row per length up to the capacity
-    counts = {r["length"]: r["n"] for r in per_salt.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    table = pieces.sparkSession.sparkContext.broadcast(slots(plan(counts, capacity)))
 
     own = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
     ranked = salted.withColumn("rank", F.row_number().over(own).cast("long")).join(per_salt.drop("n"), ["length", "salt"]).withColumn("rank", F.col("rank") + F.col("skip") - 1).drop("skip", "salt").select(*pieces.columns, "rank")

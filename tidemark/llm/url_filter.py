@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import free_name
+
 #: Rules up to this count are broadcast (their rows are a few hundred bytes); beyond it the join shuffles.
 BROADCAST_RULES = 50_000
 #: Hex digits of the digest that the equi-join compares.
@@ -112,10 +114,12 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
         ).alias("best")
     )
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    return pages.join(best, pages[url] == best["u"], "left").select(
+    match, key = free_name("best", pages.columns), free_name("u", pages.columns)
+    best = best.select(F.col("u").alias(key), F.col("best").alias(match))
+    return pages.join(best, pages[url] == best[key], "left").select(
         *[pages[c] for c in kept],
         F.coalesce(url_host(pages[url]), F.lit("")).alias("host"),
         F.coalesce(url_path(pages[url]), F.lit("")).alias("path"),
-        F.col("best.rule").alias("rule"),
-        F.coalesce(F.col("best.verdict"), F.lit(default)).alias("verdict"),
+        best[match]["rule"].alias("rule"),
+        F.coalesce(best[match]["verdict"], F.lit(default)).alias("verdict"),
     )
