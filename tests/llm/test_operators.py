@@ -168,6 +168,51 @@ def test_toxicity(spark, sf, awkward, nothing):
     assert toxicity.score(awkward, toxicity.Model()).where("score = 0 and predicted = 0").count() == 9
 
 
+def test_toxicity_score_by_definition(spark):
+    """Every word compressed on its own beside both dictionaries, without caches, against the operator."""
+    import math
+
+    import zstandard
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    assert all(len(d) > 8 for d in (model.ordinary, model.toxic))
+    tail = model.ordinary[-toxicity.TAIL :]
+
+    def size(content, data):
+        reach = max(18, (len(content) + 4 * toxicity.WINDOW).bit_length())
+        params = zstandard.ZstdCompressionParameters(strategy=zstandard.STRATEGY_BTLAZY2, min_match=4, search_log=6, target_length=32, window_log=reach, chain_log=reach, hash_log=reach, write_content_size=False, write_dict_id=False)
+        beside = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(dict_data=beside, compression_params=params).compress(data + tail))
+
+    empty = size(model.ordinary, b"")
+    known = {}
+
+    def saving(word):
+        if word not in known:
+            plain = size(model.ordinary, b" " + word + b" ")
+            saved = plain - size(model.toxic + model.ordinary, b" " + word + b" ")
+            known[word] = (saved / (plain - empty), saved) if saved > 0 else (0.0, 0)
+        return known[word]
+
+    rows = docs.join(labels.where("toxic = 1").limit(8), "doc_id").select("doc_id", "text").limit(8).unionByName(docs.join(labels.where("toxic = 0").limit(8), "doc_id").select("doc_id", "text"))
+    rows = rows.where("length(text) < 3000").collect()
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    tried = 0
+    for doc, text in rows:
+        words = [w.encode() for w in "".join(c if ord(c) > 127 or c.isalnum() else " " for c in text.lower()).split(" ") if w]
+        if any(len(w) > toxicity.PIECE for w in words):
+            continue
+        tried += 1
+        hits = {w: saving(w) for w in set(words) if saving(w)[1]}
+        features = [1.0, 0, 0, 0, 0, 0]
+        if hits:
+            total = sum(hits[w][0] * hits[w][1] for w in words if w in hits)
+            features = [1.0, min(12, max(s for _, s in hits.values())), max(f for f, _ in hits.values()), math.log1p(total), math.log1p(1000 * total / (len(text.lower().encode()) + 500)), math.log1p(sum(f * s for f, s in hits.values()))]
+        assert abs(got[doc] - 1 / (1 + math.exp(-sum(w * x for w, x in zip(model.weights, features, strict=True))))) < 1e-9
+    assert tried >= 5
+
+
 def test_language(spark, awkward, nothing):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = QUERIES["op5_language_id"](spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null").collect()

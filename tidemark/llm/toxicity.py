@@ -1,6 +1,6 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are fitted on labelled text: one on ordinary text,
+Two zstandard dictionaries are trained on labelled text: one on ordinary text,
 one on ordinary *and* toxic text. Every window of a document is compressed with
 both; a window that needs fewer bytes beside the toxic dictionary resembles
 toxic text. A window is a word, as a short one saves too little to show in
@@ -57,10 +57,10 @@ PIECE, STEP = 24, 12
 WIDTHS = (6, 9, 12)
 #: Bytes of the n-grams that tell toxic passages: those in at least so many toxic documents, and so many times as frequent there.
 GRAM, LEAST_DOCS, LEAST_RATIO = 5, 3, 30.0
-#: The same for whole words, whose n-grams may all be ordinary.
+#: The same for whole words, whose n-grams may all be ordinary, and for ordinary words that the ordinary dictionary gets because they look like toxic ones.
 LEAST_WORD_DOCS = 3
-#: Telling n-grams, and passages in the toxic dictionary, at most.
-MOST_GRAMS, MOST_WORDS = 20_000, 2000
+#: Bytes of the substrings that dictionary training counts, and of the stretches it picks for the toxic dictionary.
+TRAIN_MATCH, TRAIN_STRETCH = 6, 32
 #: Compression level of a text without a dictionary, and bytes of the text behind a window.
 LEVEL, TAIL = 9, 16
 #: Shortest match, and how many candidates are tried for one (as a power of two), beside a dictionary.
@@ -213,10 +213,36 @@ def _newton(x, y):
     return w
 
 
+def trained(size: int, samples: list[bytes], **options) -> bytes:
+    """A dictionary trained on samples; all of them if they are too few to train on."""
+    import zstandard
+
+    try:
+        return zstandard.train_dictionary(size, samples, **options).as_bytes()
+    except zstandard.ZstdError:
+        return b" ".join(samples)
+
+
+def toxic_dictionary(passages: list[tuple[bytes, int]]) -> bytes:
+    """The dictionary trained on toxic text, given as ``(passage, documents with it)``, frequent ones first.
+
+    A sample has a number of passages in a row, as training counts nothing in
+    samples of a few bytes; the more documents have one, the more samples do.
+    What training leaves out goes in front, farthest from the window.
+    """
+    samples, rounds = [], max((n for _, n in passages), default=0)
+    for k in range(min(rounds, 64)):
+        going = [p for p, n in passages if n > k]
+        going = going[k % len(going) :] + going[: k % len(going)]  # other neighbours each time
+        samples += [b"".join(going[i : i + 8]) for i in range(0, len(going), 8)]
+    size = sum(len(p) for p, _ in passages)
+    content = trained(max(1024, 2 * size), samples, k=TRAIN_STRETCH, d=TRAIN_MATCH) if samples else b""
+    return b"".join([*(p for p, _ in reversed(passages) if p not in content), content])
+
+
 def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """A model of the labelled documents that ``where`` (a condition on ``labels``) admits."""
     import numpy as np
-    import zstandard
 
     known = labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull() & (F.lit(True) if where is None else where))
     known = known.groupBy(F.col(id_col).alias("id")).agg((F.max(label) > 0).cast("int").alias("y"))
@@ -258,7 +284,7 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
 
     by_gram = by_word.mapInArrow(gram_counts, "gram binary, a long, b long").groupBy("gram").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     apart = F.col("a") / n1 > LEAST_RATIO * (F.col("b") + 0.5) / n0
-    telling = by_gram.where((F.col("a") >= LEAST_DOCS) & apart).orderBy(F.desc("a"), "gram").limit(MOST_GRAMS)
+    telling = by_gram.where((F.col("a") >= LEAST_DOCS) & apart)  # as many as the sample has
     telling = frozenset(bytes(r["gram"]) for r in telling.select("gram").collect())
     shared = docs.sparkSession.sparkContext.broadcast(telling)
 
@@ -273,7 +299,7 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
     found = by_word.where("a > 0").mapInArrow(passages, "passage binary, a long")
     whole = by_word.where((F.col("a") >= LEAST_WORD_DOCS) & apart).select(F.concat(F.lit(" "), "word", F.lit(" ")).cast("binary").alias("passage"), "a")
     found = found.unionByName(whole).groupBy("passage").agg(F.sum("a").alias("a"))
-    found = [bytes(r["passage"]) for r in found.orderBy(F.desc("a"), "passage").limit(MOST_WORDS).select("passage").collect()]
+    found = [(bytes(r["passage"]), r["a"]) for r in found.orderBy(F.desc("a"), "passage").collect()]
 
     def some_windows(batches):
         import zlib
@@ -289,12 +315,8 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
 
     ordinary = learned.where("y = 0").select("text").mapInArrow(some_windows, "key long, window binary").distinct()
     ordinary = [bytes(r["window"]) for r in ordinary.orderBy("key", "window").limit(SAMPLE_WINDOWS).select("window").collect()]
-    try:
-        content = zstandard.train_dictionary(DICTIONARY_BYTES, ordinary).as_bytes()
-    except zstandard.ZstdError:  # too few samples to train on: they are the dictionary
-        content = b" ".join(ordinary)[-DICTIONARY_BYTES:]
-    # the frequent ones last: nearer to the window, so cheaper to refer to
-    model = Model(ordinary=content, toxic=b"".join(reversed(found)))
+    content = trained(DICTIONARY_BYTES, ordinary)
+    model = Model(ordinary=content, toxic=toxic_dictionary(found))
 
     if found:
         first = docs.sparkSession.sparkContext.broadcast(model)
@@ -309,8 +331,8 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
                 yield pa.record_batch([pa.array([w for w, _ in out], pa.binary()), pa.array([b for _, b in out], pa.int64())], names=["word", "b"])
 
         # words of ordinary documents, or their pieces, that save bytes, as they are part of a toxic passage: the ordinary dictionary gets them too
-        wrong = by_word.where((F.col("b") > 0) & ~apart).select("word", "b").mapInArrow(mistaken, "word binary, b long").groupBy("word").agg(F.sum("b").alias("b"))
-        wrong = [bytes(r["word"]) for r in wrong.orderBy(F.desc("b"), "word").limit(MOST_WORDS).select("word").collect()]
+        wrong = by_word.where((F.col("b") >= LEAST_WORD_DOCS) & ~apart).select("word", "b").mapInArrow(mistaken, "word binary, b long").groupBy("word").agg(F.sum("b").alias("b"))
+        wrong = [bytes(r["word"]) for r in wrong.orderBy(F.desc("b"), "word").select("word").collect()]
         if wrong:
             model.ordinary = b" ".join([b"", *reversed(wrong), content])
 
