@@ -32,6 +32,17 @@ def test_upsert_is_keyed_idempotent_and_versioned(spark, tmp_path):
     assert {r["id"]: r["extra"] for r in table.read().collect()} == {1: None, 2: None, 3: None, 4: 9}
     assert [r["rows"] for r in table.history().orderBy("instant").collect()] == [2, 3, 3, 4]
     assert catalog(spark, str(tmp_path)).collect()[0]["commits"] == 4
+    keyed = SnapshotTable(spark, str(tmp_path / "keys"), TableSpec("k", ("a", "b"), "at"))
+    odd = [("a||b", "c", 1), ("a", "b||c", 1), (None, "", 1), ("", None, 1), ("", "", 1)]
+    keyed.upsert(spark.createDataFrame(odd, "a string, b string, at long"), "1")
+    before = {p.name for p in (tmp_path / "keys/k/v=1").iterdir() if p.name.startswith("_bucket")}
+    keyed.upsert(spark.createDataFrame([("a", "b||c", 2)], "a string, b string, at long"), "2")
+    assert sorted((r["a"] or "-", r["b"] or "-", r["at"]) for r in keyed.read().collect()) == sorted((a or "-", b or "-", 2 if a == "a" else n) for a, b, n in odd)
+    assert len(before) > 1 and len([p for p in (tmp_path / "keys/k/v=2").iterdir() if p.name.startswith("_bucket")]) == 1  # only the bucket of the batch
+    with pytest.raises(ValueError, match="after"):
+        keyed.upsert(spark.createDataFrame(odd, "a string, b string, at long"), "2")
+    keyed.upsert(spark.createDataFrame([("new", "x", 2.5)], "a string, b string, at double"), "3")  # a type changed: all is written anew
+    assert keyed.read().count() == 6 and keyed.vacuum() == ["1", "2"] and keyed.read().count() == 6
     assert sum(r["n"] for r in commit_histogram(table.read()).collect()) == 4
     assert columns.drop_meta(table.read()).columns[0] in ("id", "v", "at", "extra")
     assert readers.latest_version(table.read(), "id").count() == 4
@@ -77,6 +88,18 @@ def test_service_scopes_and_refuses(spark, tmp_path):
     with pytest.raises(Exception):  # noqa: B017  a path is no table
         service.sql(f"select * from parquet.`{tmp_path}/t`").collect()
     assert service.sql("select 'drop it' as words").count() == 1
+    # another tenant's saved tables and views, other databases and Java code are out of reach
+    spark.createDataFrame([("b", 9)], "tenant_id string, x int").createOrReplaceGlobalTempView("g")
+    spark.sql("drop table if exists other_secret")
+    spark.createDataFrame([("b", 9)], "tenant_id string, x int").write.mode("overwrite").saveAsTable("other_secret")
+    outside = ["other_secret", "global_temp.g", "default.other_secret", "spark_catalog.default.other_secret", "(select * from other_secret)", "t where x in (select x from other_secret)", "t join other_secret using (x)", "table(other_secret)"]
+    for text in [*(f"select * from {o}" for o in outside), "with t2 as (select * from other_secret) select * from t2", "select (select max(x) from global_temp.g) as x from t", "select java_method('java.lang.System', 'getProperty', 'user.home') as h", "select reflect('java.lang.System', 'currentTimeMillis') as h", "select `reflect`('java.lang.System', 'currentTimeMillis') as h"]:
+        with pytest.raises(Exception):  # noqa: B017
+            service.sql(text).collect()
+    spark.sql("drop table other_secret")
+    assert service.sql("with y as (select x as `set`, x + 1 as load from t) select max(`set`) as m, max(load) as n from y").collect()[0] == (2, 3)
+    assert service.sql("select count(*) as n from t a join t b on a.x = b.x where a.x in (select x from t)").collect()[0]["n"] == 2
+    assert service.sql("select id from range(3)").count() == 3
 
 
 def test_split_keeps_every_row(spark):

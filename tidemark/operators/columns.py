@@ -38,6 +38,12 @@ def record_hash(columns: list[str | Column], separator: str = "||") -> Column:
     return F.sha2(F.concat_ws(separator, *parts), 256)
 
 
+def key_hash(columns: list[str | Column]) -> Column:
+    """SHA-256 over the text of columns, each with its length in front and nulls apart: different keys never get the same text."""
+    parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns]
+    return F.sha2(F.concat(*[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]), 256)
+
+
 def drop_meta(df: DataFrame) -> DataFrame:
     return df.drop(*META)
 

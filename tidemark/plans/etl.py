@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import nested
 from tidemark.functions.times import epoch_ms_to_ts, iso_to_ts, millis_between
-from tidemark.operators.columns import ensure_columns, first_available, flatten, record_hash, require_scalar
+from tidemark.operators.columns import drop_meta, ensure_columns, first_available, flatten, record_hash, require_scalar
 from tidemark.operators.quality import dead_letters, split
 from tidemark.operators.windows import latest_per_key
 from tidemark.plans import schemas as S
@@ -38,6 +38,8 @@ class Pipeline:
     gold: Shape
     ordering: str = "ingested_at_ts"
     rules: Callable[[DataFrame], dict[str, Column]] | None = None
+    #: Key of silver where it has more rows than gold.
+    silver_keys: tuple[str, ...] = ()
 
     def stages(self, raw: DataFrame) -> dict[str, DataFrame]:
         """Bronze, silver, gold and dead letters of a batch, without writing anything."""
@@ -51,13 +53,24 @@ class Pipeline:
         return out | ({"dlq": failed} if failed is not None else {})
 
     def refresh(self, spark: SparkSession, warehouse: str, raw: DataFrame) -> SnapshotTable:
-        """Merges a batch of raw rows; silver and gold work on the batch, the keyed merge does the rest."""
-        out = self.stages(raw)
-        tables = {"bronze": ("record_hash",), "silver": self.keys, "gold": self.keys, "dlq": ("dlq_id",)}
-        for layer, df in out.items():
-            name = f"{self.name}_dlq" if layer == "dlq" else self.name
-            table = SnapshotTable(spark, f"{warehouse}/{'silver' if layer == 'dlq' else layer}", TableSpec(name, tables[layer], self.ordering if self.ordering in df.columns else "ingested_at_ts"))
-            table.upsert(df)
+        """Merges a batch of raw rows; silver and gold work on the batch, the keyed merge does the rest.
+
+        The batch is read once: bronze is written, and silver, dead letters and
+        gold are made from what the layer below them wrote in this batch.
+        """
+
+        def write(layer: str, name: str, keys: tuple[str, ...], df: DataFrame) -> DataFrame:
+            table = SnapshotTable(spark, f"{warehouse}/{layer}", TableSpec(name, keys, self.ordering if self.ordering in df.columns else "ingested_at_ts"))
+            instant = table.upsert(df)
+            return drop_meta(table.read().where(F.col("_commit_time") == instant))
+
+        bronze = write("bronze", self.name, ("record_hash",), self.bronze(raw))
+        silver = self.silver(bronze)
+        if self.rules is not None:
+            silver, failed = split(silver, self.rules(silver))
+            write("silver", f"{self.name}_dlq", ("dlq_id",), dead_letters(failed, list(self.keys)))
+        silver = write("silver", self.name, self.silver_keys or self.keys, silver)
+        write("gold", self.name, self.keys, require_scalar(self.gold(silver)))
         return SnapshotTable(spark, f"{warehouse}/gold", TableSpec(self.name, self.keys, self.ordering))
 
 
@@ -508,7 +521,7 @@ PIPELINES: dict[str, Pipeline] = {
         Pipeline("condition", ("pk",), raw_columns({"id": "string", "tenant_id": "string", "condition": "string"}, _TENANT), conditions_silver, conditions_gold),
         Pipeline("rule", ("pk",), raw_columns({"rule_id": "string", "rule_cfg": "string", "tenant_id": "string", "configuration": "string", "credttm": "string", "upddttm": "string"}, {"ruleid": "rule_id", "rulecfg": "rule_cfg", **_TENANT}), rules_silver, rules_gold),
         Pipeline("typologies", ("pk",), raw_columns({"typology_id": "string", "typology_cfg": "string", "tenant_id": "string", "configuration": "string"}, {"typologyid": "typology_id", "typologycfg": "typology_cfg", **_TENANT}), typologies_silver, typologies_gold()),
-        Pipeline("network_map", ("tenant_id", "tx_type", "typology_id", "typology_cfg"), raw_columns({"tenant_id": "string", "configuration": "string", "credttm": "string", "upddttm": "string"}, _TENANT), network_map_silver, network_map_gold),
+        Pipeline("network_map", ("tenant_id", "tx_type", "typology_id", "typology_cfg"), raw_columns({"tenant_id": "string", "configuration": "string", "credttm": "string", "upddttm": "string"}, _TENANT), network_map_silver, network_map_gold, silver_keys=("network_map_id", "message_id", "typology_id", "typology_cfg")),
         Pipeline("evaluation", ("message_id", "tenant_id"), raw_columns({"credttm": "long", "message_id": "string", "tenant_id": "string", "evaluation": "string"}, {"messageid": "message_id", **_TENANT}), evaluation_silver, evaluation_gold),
         Pipeline("entity", ("pk",), raw_columns({"credttm": "long", "id": "string", "tenant_id": "string"}, _TENANT), entity_silver, lambda df: plain_gold(df).withColumn("entity_created_date", F.to_date("entity_created_ts"))),
         Pipeline("account", ("pk",), raw_columns({"id": "string", "tenant_id": "string"}, _TENANT), account_silver, plain_gold),

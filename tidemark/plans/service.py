@@ -1,8 +1,10 @@
 """Query service: tenant-scoped access to registered tables.
 
 The caller is authenticated already; the service takes a tenant. Tables
-without a tenant column are refused. SQL runs in a session of its own in which
-only the tenant's views exist and file paths are not tables.
+without a tenant column are refused. A statement is parsed by Spark before it
+runs: it must be a query, over registered tables and its own common table
+expressions alone, without table functions that read something and without
+functions that reach into the JVM.
 """
 
 from __future__ import annotations
@@ -17,11 +19,18 @@ from tidemark.operators.columns import TENANT_COLUMNS, for_tenant
 MAX_ROWS = 10_000
 DEFAULT_ROWS = 100
 _STARTS = re.compile(r"(?is)^\s*(select|with)\b")
-_FORBIDDEN = re.compile(r"(?i)\b(insert|update|delete|drop|alter|create|truncate|merge|grant|revoke|set|reset|use|cache|uncache|refresh|add|load|msck|analyze|call|copy|replace into)\b")
+#: Functions that call Java code or tell about the machine, and table functions that only make rows.
+_REFUSED = re.compile(r"(?i)\b(reflect|java_method|try_reflect|input_file_name|input_file_block_start|input_file_block_length|spark_partition_id|version|current_catalog|current_database|current_schema)\b")
+_ROW_MAKERS = {"range", "explode", "explode_outer", "posexplode", "posexplode_outer", "inline", "inline_outer", "stack"}
+_RELATION = re.compile(r"UnresolvedRelation \[(.*?)\]")
+_TABLE_FUNCTION = re.compile(r"UnresolvedTableValuedFunction \[(.*?)\]")
+_NAMES = re.compile(r"CTE \[(.*?)\]")
+#: Nodes of a parsed plan that change something, at the start of a line of its tree.
+_CHANGES = re.compile(r"(?m)^[\s:+|-]*'?(?:Insert|Delete|Update|Merge|Create|Replace|Drop|Alter|Set|Truncate|Cache|Uncache|Refresh|Load|Call|\w*Command)\w*")
 
 
 class Forbidden(ValueError):
-    """A statement that changes something."""
+    """A statement that changes something or reaches beyond the tenant's tables."""
 
 
 class QueryService:
@@ -56,16 +65,28 @@ class QueryService:
         statement = statement.strip().rstrip(";")
         if not _STARTS.match(statement):
             raise ValueError("only SELECT or WITH")
-        quiet = re.sub(r"'(?:[^'\\]|\\.|'')*'", "''", statement)  # words inside text literals don't count
-        if _FORBIDDEN.search(quiet) or ";" in quiet:
-            raise Forbidden("read-only")
+        quiet = re.sub(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.|\"\")*\"", "''", statement)  # words inside text literals don't count
+        if ";" in quiet or _REFUSED.search(quiet):
+            raise Forbidden("read-only, and no functions that reach outside")
         session = self.spark.newSession()
         session.conf.set("spark.sql.runSQLOnFiles", "false")
-        for name in self.tables:
-            if re.search(rf"\b{re.escape(name)}\b", quiet, re.IGNORECASE):
-                self._table(session, name).createOrReplaceTempView(name)
+        for name in self._named(session, statement):
+            self._table(session, name).createOrReplaceTempView(name)
         return session.sql(statement).limit(min(limit, MAX_ROWS) if limit and limit > 0 else MAX_ROWS)
 
+    def _named(self, session: SparkSession, statement: str) -> set[str]:
+        """The registered tables of a query, by the plan that Spark's parser makes of it; an error if it names anything else."""
+        plan = session._jsparkSession.sessionState().sqlParser().parsePlan(statement).toString()
+        if _CHANGES.search(plan):
+            raise Forbidden("read-only")
+        registered = {n.lower(): n for n in self.tables}
+        own = {n.strip().lower() for names in _NAMES.findall(plan) for n in names.split(",")}
+        found = {n.strip().lower() for n in _RELATION.findall(plan)}
+        beyond = {n for n in found if n not in registered and n not in own} | {n for n in _TABLE_FUNCTION.findall(plan) if n.strip().lower() not in _ROW_MAKERS}
+        if beyond:
+            raise Forbidden(f"not registered: {', '.join(sorted(beyond))}")
+        return {registered[n] for n in found & registered.keys()}
+
     @staticmethod
     def rows(df: DataFrame) -> list[dict]:
         """Plain rows of a capped result."""

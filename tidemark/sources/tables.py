@@ -1,10 +1,12 @@
 """Keyed tables as versioned Parquet snapshots.
 
-A table is a folder: ``v=<instant>/`` holds a whole snapshot as Parquet and
-``_commits/<instant>.json`` is written when the snapshot is complete. Readers
-take the newest commit, or the newest at or before an instant, so a failed
-write is never seen and an old state can be read again. All files go through
-Spark's file systems; one writer at a time is assumed.
+A table is dealt into buckets by a hash of its key. ``v=<instant>/`` holds the
+buckets that a batch touched, written anew; ``_commits/<instant>.json`` is
+written when they are complete and tells for every bucket which instant has it.
+Readers take the newest commit, or the newest at or before an instant, so a
+failed write is never seen and an old state can be read again until
+:meth:`SnapshotTable.vacuum` removes it. All files go through Spark's file
+systems; one writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -15,8 +17,9 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.operators.columns import record_hash
+from tidemark.operators.columns import key_hash
 from tidemark.operators.windows import latest_per_key
 
 
@@ -28,6 +31,8 @@ class TableSpec:
     keys: tuple[str, ...]
     ordering: str
     partition: str | None = None
+    #: Buckets of a new table; a table keeps the number it was made with.
+    buckets: int = 16
 
 
 class SnapshotTable:
@@ -55,14 +60,31 @@ class SnapshotTable:
         schema = "instant string, rows long, incoming long, columns array<string>"
         return self.spark.read.schema(schema).json(f"{self.path}/_commits") if self.ready() else self.spark.createDataFrame([], schema)
 
+    def _note(self, instant: str) -> dict:
+        """What a commit wrote down."""
+        fs, p = self._fs(f"{self.path}/_commits/{instant}.json")
+        stream = fs.open(p)
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
     # -- reading
 
+    def _read(self, note: dict, buckets=None) -> DataFrame:
+        """The snapshot of a commit, or some of its buckets."""
+        kept = {b: v for b, v in note["where"].items() if buckets is None or int(b) in buckets}
+        schema = T.StructType.fromJson(json.loads(note["schema"]))
+        if not kept:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/v={v}/_bucket={b}" for b, v in sorted(kept.items())])
+
     def read(self, as_of: str | None = None) -> DataFrame:
         """The newest snapshot, or the newest whose instant is at or before ``as_of`` (a prefix of an instant will do)."""
         found = [c for c in self.commits() if as_of is None or c[: len(as_of)] <= as_of]
         if not found:
             raise LookupError(f"{self.spec.name}: no snapshot" + (f" at {as_of}" if as_of else ""))
-        return self.spark.read.parquet(f"{self.path}/v={found[-1]}")
+        return self._read(self._note(found[-1]))
 
     # -- writing
 
@@ -70,30 +92,58 @@ class SnapshotTable:
         """Incoming rows replace stored rows of the same key; within a batch the largest ordering value wins.
 
         Keys hold over all partitions. Applying a batch twice equals applying
-        it once. Columns may come and go: missing ones are null.
+        it once. Columns may come and go: missing ones are null. Only the
+        buckets of the batch's keys are read and written, unless a column
+        changed its type.
         """
-        instant = instant or datetime.now(UTC).strftime("%Y%m%d%H%M%S%f")[:17]
-        key = record_hash(list(self.spec.keys))
+        before = self.commits()
+        note = self._note(before[-1]) if before else {"buckets": self.spec.buckets, "where": {}, "counts": {}, "schema": None}
+        instant = instant or datetime.now(UTC).strftime("%Y%m%d%H%M%S%f")
+        if before and instant <= before[-1]:
+            raise ValueError(f"{self.spec.name}: {instant} is not after the last commit {before[-1]}")
+        key = key_hash(list(self.spec.keys))
         data = [c for c in rows.columns if not c.startswith("_commit") and c != "_record_key"]
         order = [F.desc_nulls_last(self.spec.ordering), F.desc(F.xxhash64(*data))]
         batch = latest_per_key(rows.select(*data), list(self.spec.keys), order)
         batch = batch.withColumns({"_commit_time": F.lit(instant), "_record_key": key, "_commit_seqno": F.concat(F.lit(f"{instant}_"), key)})
-        if self.ready():
-            stored = self.read()
-            batch = stored.join(batch.select("_record_key"), "_record_key", "left_anti").unionByName(batch, allowMissingColumns=True)
-        writer = batch.write.mode("overwrite")
-        if self.spec.partition:
-            writer = writer.partitionBy(self.spec.partition)
+        bucket = F.pmod(F.xxhash64("_record_key"), F.lit(note["buckets"])).cast("int")
+        merged = batch
+        if note["where"]:
+            touched = {r[0] for r in rows.select(F.pmod(F.xxhash64(key), F.lit(note["buckets"])).cast("int")).distinct().collect()}  # at most one for each bucket
+            stored = {f.name: f.dataType for f in T.StructType.fromJson(json.loads(note["schema"])).fields}
+            if any(f.name in stored and stored[f.name] != f.dataType for f in batch.schema.fields):
+                touched = None
+            old = self._read(note, touched)
+            merged = old.join(batch.select("_record_key"), "_record_key", "left_anti").unionByName(batch, allowMissingColumns=True)
+        # a task for each bucket would hold a hot one whole: rows are dealt by bucket and key
+        writer = merged.withColumn("_bucket", bucket).write.mode("overwrite").partitionBy("_bucket", *([self.spec.partition] if self.spec.partition else []))
         writer.parquet(f"{self.path}/v={instant}")
-        written = self.spark.read.parquet(f"{self.path}/v={instant}")
-        counts = written.agg(F.count("*").alias("rows"), F.count_if(F.col("_commit_time") == instant).alias("incoming")).first()
-        note = {"instant": instant, "rows": counts["rows"], "incoming": counts["incoming"], "columns": written.columns}
+        written = self.spark.read.schema("_commit_time string, _bucket int").parquet(f"{self.path}/v={instant}")
+        counts = written.groupBy("_bucket").agg(F.count("*").alias("rows"), F.count_if(F.col("_commit_time") == instant).alias("incoming")).collect() if merged.columns else []
+        where = note["where"] | {str(r["_bucket"]): instant for r in counts}
+        sizes = note["counts"] | {str(r["_bucket"]): r["rows"] for r in counts}
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in merged.schema.fields])
+        note = {"instant": instant, "rows": sum(sizes.values()), "incoming": sum(r["incoming"] for r in counts), "columns": merged.columns, "buckets": note["buckets"], "where": where, "counts": sizes, "schema": schema.json()}
         fs, p = self._fs(f"{self.path}/_commits/{instant}.json")
         out = fs.create(p, True)
         out.write(bytearray(json.dumps(note).encode()))
         out.close()
         return instant
 
+    def vacuum(self, keep: int = 1) -> list[str]:
+        """Removes all commits but the last ``keep`` and the folders that none of those reads; returns the removed instants."""
+        commits = self.commits()
+        gone, left = commits[: max(0, len(commits) - keep)], commits[max(0, len(commits) - keep) :]
+        used = {v for c in left for v in self._note(c)["where"].values()}
+        for c in gone:
+            fs, p = self._fs(f"{self.path}/_commits/{c}.json")
+            fs.delete(p, False)
+        for c in commits:
+            if c not in used:
+                fs, p = self._fs(f"{self.path}/v={c}")
+                fs.delete(p, True)
+        return gone
+
 
 def catalog(spark: SparkSession, root: str, layers=("bronze", "silver", "gold", "views")) -> DataFrame:
     """``layer, name, path, commits, last_commit`` of every table below a warehouse folder."""
