@@ -290,6 +290,28 @@ def targets(sizes):
         capped |= more
 
 
+def test_mix_takes_the_smallest_finish_times(spark):
+    """Which copies the mix takes, against the whole queue sorted in Python."""
+    rng = random.Random(11)
+    docs = spark.createDataFrame([(i, "w " * rng.randint(0, 9), "en", s, 1) for i, s in enumerate(["a"] * 40 + ["b"] * 300 + ["c"] * 7 + [None] * 60)], DOCS)
+    queue, copies = mixing._mix(docs, "doc_id", "text", "source", 0, 1.0, mixing.WEIGHTS, mixing.MOST_ROUNDS)
+    rows = queue.collect()
+    served = defaultdict(list)
+    for r in rows:
+        served[r["source"]].append((r["served"], r["size"]))
+    for s, spots in served.items():  # served: running words of the source in some fixed order
+        spots.sort()
+        assert [x for x, n in spots if n] == list(np.cumsum([n for _, n in spots if n])), s
+    want = sorted(((k * r["source_size"] + r["served"]) / r["target"], r["row_key"], k, r["size"]) for r in rows if r["size"] and r["target"] for k in range(mixing.MOST_ROUNDS))
+    budget, taken = round(sum({r["source"]: r["target"] for r in rows}.values())), Counter()
+    for _, key, k, size in want:
+        budget -= size
+        if budget < 0:
+            break
+        taken[key, k] += 1
+    assert Counter((r["row_key"], r["round"]) for r in copies.select("row_key", "round").collect()) == taken
+
+
 def test_mixing(spark, awkward, nothing, documents):
     tiny = spark.createDataFrame([(i, "w " * (i % 7 + 1), "en", s, 1) for i, s in enumerate(["a"] * 5 + ["b"] * 200 + ["c"] * 3 + [None] * 50)], DOCS)
     for docs in (documents, tiny, awkward):

@@ -7,10 +7,9 @@ by the source's target. Serving all flows by virtual finish time and stopping
 when the budget of words is spent gives each source its target share.
 
 Nothing is ordered in one task: the running word count of a source is built
-from the sums of hashed buckets plus a window inside each bucket, and the stop
-is found from the word sums of narrow ranges of finish times, narrowed again
-while the range where the budget ends holds many copies, plus a running sum
-inside the last one.
+from the sums of hashed buckets plus a window inside each bucket. The copies
+(ids and sizes, no texts) are then range-sorted by finish time; sums of the
+ranges tell in which one the budget ends, and that one is cut by a running sum.
 
 Defined results
 ---------------
@@ -25,8 +24,6 @@ Defined results
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,8 +35,8 @@ WEIGHTS = (1, 2, 3)
 MOST_ROUNDS = 3
 #: Documents of a source that share one hashed bucket, on average.
 BUCKET_ROWS = 4096
-#: Ranges of finish time among which the end of the budget is looked for, up to which time they are even, and copies of a range that are few enough to be summed one by one.
-TIME_RANGES, FAR_FINISH, EDGE_ROWS = 1 << 14, 4.0, 1 << 15
+#: The order of the mix.
+ORDER = ("finish", "row_key", "round")
 
 
 def word_count(text: Column) -> Column:
@@ -122,8 +119,7 @@ def _content(text: str, source: str) -> Column:
 
 def in_mix_order(copies: DataFrame) -> DataFrame:
     """``copies`` range-partitioned and sorted by virtual finish time."""
-    keys = ["finish", "row_key", "round"]
-    return copies.repartitionByRange(shuffle_partitions(copies.sparkSession), *keys).sortWithinPartitions(*keys)
+    return copies.repartitionByRange(shuffle_partitions(copies.sparkSession), *ORDER).sortWithinPartitions(*ORDER)
 
 
 def _mix(docs, id_col, text, source, seed, share, weights, most):
@@ -160,23 +156,15 @@ def _mix(docs, id_col, text, source, seed, share, weights, most):
         .withColumn("finish", (F.col("round") * F.col("source_size") + F.col("served")) / F.col("target"))
     )
     budget = int(round((targets.agg(F.sum("target")).first()[0] or 0.0)))
-    # the finish times among which the budget ends, narrowed until few copies are left in them
-    low, high, spent = 0.0, FAR_FINISH, 0
-    while True:
-        slot = F.least(F.greatest(F.floor((F.col("finish") - low) / (high - low) * TIME_RANGES), F.lit(0)), F.lit(TIME_RANGES - 1)).cast("int")
-        inside = copies.where(F.col("finish") >= low) if high == FAR_FINISH else copies.where((F.col("finish") >= low) & (F.col("finish") < high))
-        by_slot = inside.groupBy(slot.alias("slot")).agg(F.sum("size").alias("words"), F.count("*").alias("n"), F.min("finish").alias("first"), F.max("finish").alias("last"))
-        by_slot = by_slot.withColumn("upto", F.sum("words").over(Window.orderBy("slot")))  # at most TIME_RANGES rows
-        edge = by_slot.where(F.col("upto") >= budget - spent).agg(F.min(F.struct("slot", "upto", "words", "n", "first", "last")).alias("e")).first()["e"]
-        if edge is None:
-            return queue, copies
-        spent += edge["upto"] - edge["words"]
-        low, high = edge["first"], math.nextafter(edge["last"], math.inf)
-        if edge["n"] <= EDGE_ROWS or edge["first"] == edge["last"]:
-            break
-    run = Window.orderBy("finish", "row_key", "round").rowsBetween(Window.unboundedPreceding, 0)
-    last = copies.where((F.col("finish") >= low) & (F.col("finish") < high)).withColumn("run", F.sum("size").over(run)).where(F.col("run") <= budget - spent).drop("run")
-    return queue, copies.where(F.col("finish") < low).unionByName(last)
+    # the queue: copies range-sorted by finish time; whole ranges are in or out, and one is cut where the budget ends
+    ranged = cut_lineage(in_mix_order(copies).withColumn("range", F.spark_partition_id()))
+    sums = ranged.groupBy("range").agg(F.sum("size").alias("words")).withColumn("upto", F.sum("words").over(Window.orderBy("range")))  # a row per range
+    edge = sums.where(F.col("upto") > budget).agg(F.min(F.struct("range", "upto", "words")).alias("e")).first()["e"]
+    if edge is None:
+        return queue, ranged.drop("range")
+    run = Window.partitionBy("range").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    last = ranged.where(F.col("range") == edge["range"]).withColumn("run", F.sum("size").over(run)).where(F.col("run") <= budget - (edge["upto"] - edge["words"])).drop("run")
+    return queue, ranged.where(F.col("range") < edge["range"]).unionByName(last).drop("range")
 
 
 def _on_source(rows: DataFrame, table: DataFrame) -> DataFrame:
