@@ -4,6 +4,21 @@ The stages, in order: toxic documents go; documents whose language cannot be
 told go; of near duplicates one document stays; sources are mixed to their
 target weights, which drops and repeats documents; what is left is packed into
 sequences. Every stage works on all that its predecessor kept.
+
+Defined results
+---------------
+* null texts are empty; texts without a letter are dropped by ``language_id``,
+  as no language can be told, so empty ones go there;
+* without labels of both kinds nothing counts as toxic, unless all are;
+* without a learned language every text is ``und`` and goes;
+* rows that share an id are folded to one by ``near_duplicates``, the same on every run; rows without an id stay;
+* ``mix_sources`` returns a row for each copy it takes, so an id may come several times and is then packed as often;
+* texts are read whole; other columns, whatever their names, go through the first four stages unchanged;
+* an empty table gives no rows at every stage.
+
+``pack`` returns places and checksums of pieces, not their token ids: with
+``packing.pack_documents(..., with_ids=True)`` and ``packing.sequences`` the
+same pieces come with ids, at about the size of the texts once more.
 """
 
 from __future__ import annotations
