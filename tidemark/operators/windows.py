@@ -40,3 +40,9 @@ def trailing_count(df: DataFrame, keys: list[str], ts: str, millis: int, name: s
     """Rows of the key within so many milliseconds up to each row, itself and its peers included."""
     w = Window.partitionBy(*keys).orderBy(F.unix_millis(ts)).rangeBetween(-millis, 0)
     return df.withColumn(name, F.count("*").over(w))
+
+
+def most_recent(df: DataFrame, candidates: list[str], k: int, tie: list[str]) -> DataFrame:
+    """The ``k`` latest rows by the first of the candidate columns that there is; without one, the first by ``tie``."""
+    found = [F.desc_nulls_last(c) for c in candidates if c in df.columns][:1]
+    return df.orderBy(*found, *tie).limit(k)

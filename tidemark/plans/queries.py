@@ -49,6 +49,14 @@ def text(c: str | Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one that the session names; a local one only where it names none and runs locally."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if shared is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir names no shared folder")
+    return f"{(shared or tempfile.gettempdir()).rstrip('/')}/{name}_{uuid.uuid4().hex}"
+
+
 def r4(c: str | Column) -> Column:
     return F.round(c, 4)
 
@@ -473,8 +481,7 @@ def etl_23_dq_split(spark, d):
 def snk_01_upsert(spark, d):
     """All orders upserted into a keyed table, then an update that closes every third."""
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.gettempdir()
-    merged = SnapshotTable(spark, f"{shared.rstrip('/')}/snk_01_{uuid.uuid4().hex}", TableSpec("orders", ("o_orderkey",), "batch"))
+    merged = SnapshotTable(spark, scratch(spark, "snk_01"), TableSpec("orders", ("o_orderkey",), "batch"))
     merged.upsert(orders.withColumn("batch", F.lit(1)), "1")
     merged.upsert(orders.where("o_orderkey % 3 = 0").withColumns({"o_orderstatus": F.lit("F"), "batch": F.lit(2)}), "2")
     return merged.read().select("o_orderkey", "o_orderstatus", "o_totalprice")

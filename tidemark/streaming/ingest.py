@@ -22,8 +22,12 @@ def json_stream(spark: SparkSession, folder: str, schema, files_per_batch: int |
     return reader.json(folder)
 
 
-def ingest(stream: DataFrame, table: SnapshotTable, checkpoint: str, shape: Callable[[DataFrame], DataFrame] = lambda df: df, after: Callable[[], None] | None = None) -> StreamingQuery:
-    """Merges everything that has landed, then stops; ``after`` runs once the batch is merged (rebuild of views)."""
+def ingest(stream: DataFrame, table: SnapshotTable, checkpoint: str, shape: Callable[[DataFrame], DataFrame] = lambda df: df, after: Callable[[], None] | None = None, every: str | None = None) -> StreamingQuery:
+    """Merges everything that has landed, then stops; ``after`` runs once the batch is merged (rebuild of views).
+
+    With ``every``, such as ``1 minute``, it looks again at that interval until it is stopped. Batches of one query never overlap: a late one
+    delays the next.
+    """
 
     def merge(batch: DataFrame, number: int) -> None:
         if batch.isEmpty():
@@ -32,7 +36,7 @@ def ingest(stream: DataFrame, table: SnapshotTable, checkpoint: str, shape: Call
         if after is not None:
             after()
 
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(**({"processingTime": every} if every else {"availableNow": True})).start()
 
 
 def tumbling(df: DataFrame, ts: str, size: str, keys: list[str], aggregates: list, late: str | None = None) -> DataFrame:
