@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tidemark.llm import langid, minhash, toxicity
+from tidemark.llm import langid, minhash, packing, toxicity
 from tidemark.llm.queries import tokenizer
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -73,4 +73,15 @@ def test_awkward_table(spark, sf):
         ids = len(library.encode(t or "", add_special_tokens=False).ids) + 1
         for k in range(0, ids, 4096):
             want[d, k // 4096, min(4096, ids - k)] += n
-    assert Counter((r["doc_id"], r["piece"], r["length"]) for r in docs.collect()) == want
+    rows = docs.collect()
+    assert Counter((r["doc_id"], r["piece"], r["length"]) for r in rows) == want
+    # the sequences hold the ids of those pieces and nothing else
+    ids, filled = Counter(), 0
+    for (_, t), n in texts["mix_sources"].items():
+        for i in [*library.encode(t or "", add_special_tokens=False).ids, 1]:
+            ids[i] += n
+    for r in packing.sequences(docs).collect():
+        assert len(r["ids"]) <= 4096
+        ids.subtract(r["ids"])
+        filled += len(r["ids"])
+    assert filled == sum(r["length"] for r in rows) and not any(ids.values())

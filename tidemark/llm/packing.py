@@ -34,6 +34,7 @@ import re
 import unicodedata
 from bisect import bisect_right
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -426,19 +427,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     own = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
     ranked = salted.withColumn("rank", F.row_number().over(own).cast("long")).join(per_salt.drop("n"), ["length", "salt"]).withColumn("rank", F.col("rank") + F.col("skip") - 1).drop("skip", "salt").select(*pieces.columns, "rank")
 
-    names = pieces.columns
+    @F.pandas_udf("sequence_id long, offset long")
+    def placed(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
+        sequence, offset = place(length.to_numpy(), rank.to_numpy(), table.value)
+        return pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
-    def run(batches):
-        import pyarrow as pa
-
-        for part in batches:
-            if part.num_rows:
-                sequence, offset = place(part.column("length").to_numpy(), part.column("rank").to_numpy(), table.value)
-                columns = [part.column(c) for c in names] + [pa.array(sequence), pa.array(offset)]
-                yield pa.record_batch(columns, names=[*names, "sequence_id", "offset"])
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return ranked.mapInArrow(run, f"{schema}, sequence_id long, offset long")
+    # two numbers a row go to Python; token ids, if there are any, stay behind in the JVM
+    return ranked.withColumn("_at", placed("length", "rank")).select(*pieces.columns, "_at.sequence_id", "_at.offset")
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 1, with_ids: bool = False, id_col: str = "doc_id", text: str = "text") -> DataFrame:
