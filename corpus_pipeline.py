@@ -16,9 +16,8 @@ Defined results
 * texts are read whole; other columns, whatever their names, go through the first four stages unchanged;
 * an empty table gives no rows at every stage.
 
-``pack`` returns places and checksums of pieces, not their token ids: with
-``packing.pack_documents(..., with_ids=True)`` and ``packing.sequences`` the
-same pieces come with ids, at about the size of the texts once more.
+``pack`` returns a row per piece with its token ids, its sequence and its place
+there; ``packing.sequences`` puts the pieces of each sequence together.
 """
 
 from __future__ import annotations
@@ -54,7 +53,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, tokenizer("word_bpe_49k.json"))
+    return packing.pack_documents(docs, tokenizer("word_bpe_49k.json"), with_ids=True)
 
 
 STAGES = [
