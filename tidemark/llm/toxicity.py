@@ -263,7 +263,9 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
     runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - 4, F.lit(1))), lambda i: F.xxhash64(F.slice("words", i, 5)))
     single = learned.select("y", F.split("text", _BETWEEN).alias("words")).withColumn("runs", runs)
     single = single.select("y", F.array_distinct("words").alias("words"), F.array_min("runs").alias("low"), F.array_max("runs").alias("high"))
-    single = scratch.cut(single.dropDuplicates(["y", "low"]).dropDuplicates(["y", "high"]))
+    # of those the least stays, so that a rerun learns the same
+    single = single.groupBy("y", "low").agg(F.min(F.struct("high", "words")).alias("one")).select("y", "one.*")
+    single = scratch.cut(single.groupBy("y", "high").agg(F.min("words").alias("words")))
     n1, n0 = (max(1, single.where(F.col("y") == y).count()) for y in (1, 0))
     by_word = single.select("y", F.explode("words").alias("word")).where("word <> ''").groupBy("word").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
     by_word = scratch.cut(by_word)
