@@ -527,7 +527,7 @@ def test_sql(spark, sf):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     for name, sql in SQL.items():
         got = QUERIES[name](spark, sf)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, chat_format, langid, lz_fingerprint, minhash, mixing, packing, token_counts, toxicity, url_filter
+from tidemark.llm import ann, bpe, chat_format, langid, lz_fingerprint, minhash, mixing, packing, repair, token_counts, toxicity, url_filter, vector_codes
 from tidemark.llm.common import held_out
 
 
@@ -80,7 +80,22 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_best_fit_packing, op3_toxicity, op4_mix_sources, op5_language_id, op6_token_counts, op7_near_duplicates, op8_url_filter, op9_lz_fingerprint, op10_nearest_neighbours)}
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), decoded=True)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
+    text = F.array_join(F.transform("repaired", lambda t: F.concat(t["role"], F.lit(":"), t["text"])), "\n")
+    return found.select(*[c for c in found.columns if c != "repaired"], F.sha2(F.encode(text, "UTF-8"), 256).alias("repaired_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_best_fit_packing, op3_toxicity, op4_mix_sources, op5_language_id, op6_token_counts, op7_near_duplicates, op8_url_filter, op9_lz_fingerprint, op10_nearest_neighbours, op11_vector_codes, op12_bpe, op13_repair)}
 
 _MARKS = ["<|turn|>", "<|sep|>", "<|end|>", "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
 
@@ -131,7 +146,96 @@ r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, e.y FROM r JO
 SELECT a AS doc_id, min(b) AS class_id FROM r GROUP BY a
 """
 
+_CODES = """
+WITH RECURSIVE kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+width AS (SELECT CAST(ceil(max(len(v)) / 16) AS BIGINT) AS w FROM kept),
+parts AS (SELECT r, p, [coalesce(v[p * w + i + 1], 0) FOR i IN range(w)] AS x FROM kept, width, range(16) AS t(p)),
+books(round, p, e, c) AS (
+  SELECT 0, p, r - 1, x FROM parts WHERE r <= 64
+  UNION ALL
+  SELECT * FROM (
+    WITH best AS (
+      SELECT parts.r, parts.p, arg_min(books.e, (list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(x, c)]), books.e)) AS e
+      FROM parts JOIN books ON parts.p = books.p WHERE books.round < 2 GROUP BY ALL
+    ),
+    means AS (
+      SELECT p, e, list(m ORDER BY i) AS c FROM (
+        SELECT best.p, best.e, i, CAST(floor(sum(x[i + 1]) / count(*)) AS BIGINT) AS m FROM best JOIN parts USING (r, p), width, range(w) AS t(i) GROUP BY ALL
+      ) GROUP BY ALL
+    )
+    SELECT books.round + 1, books.p, books.e, coalesce(means.c, books.c) FROM books LEFT JOIN means USING (p, e) WHERE books.round < 2
+  )
+),
+coded AS (
+  SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM (
+    SELECT parts.r, parts.p, min((list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(x, c)]), books.e)) AS best, best[1] AS d, best[2] AS e
+    FROM parts JOIN books ON parts.p = books.p AND books.round = 2 GROUP BY ALL
+  ) GROUP BY r
+),
+digest AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS d FROM books WHERE round = 2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, d AS codebooks_sha256 FROM kept JOIN coded USING (r), digest
+"""
+
+_REPAIR = r"""
+WITH RECURSIVE keyed AS (
+  SELECT *, string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), '') AS letters FROM conversations
+),
+spaced AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), flatten([[CAST(unicode(a) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1] FOR a IN letters])),
+    LAMBDA c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END
+  ), 4294967295) % 20 AS kind FROM keyed
+),
+damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM spaced, range(CASE kind WHEN 3 THEN 2 ELSE 1 END) WHERE kind <> 0
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged
+),
+turns AS (
+  SELECT *, left(role, 1) AS initial, right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last,
+    CASE WHEN last = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed
+),
+figures AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM turns GROUP BY conv_id
+),
+closing(a, b, k, added) AS (VALUES ('', '', 0, []), ('s', 's', 0, []), ('u', 'u', 0, []), ('a', 'a', 0, []), ('', 'u', 1, ['user:']), ('s', 'u', 1, ['user:']), ('a', 'u', 1, ['user:']), ('u', 'a', 1, ['assistant:']), ('', 'a', 2, ['user:', 'assistant:']), ('s', 'a', 2, ['user:', 'assistant:'])),
+moves(b, c) AS (VALUES ('', 's'), ('', 'u'), ('s', 'u'), ('a', 'u'), ('u', 'a')),
+paths(conv_id, i, state, best) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), '', {'cost': CAST(0 AS BIGINT), 'audit': '', 'out': CAST([] AS VARCHAR[])} FROM figures
+  UNION ALL
+  SELECT conv_id, i, state, min(way) FROM (
+    SELECT p.conv_id, t.i, coalesce(m.c, k.b) AS state, {
+      'cost': p.best.cost + 3 * k.k + CASE WHEN e.e = 'D' THEN 4 ELSE CASE WHEN e.e = 'R' THEN 3 ELSE 0 END + CASE WHEN t.fault = 'truncated' THEN 3 ELSE 0 END END,
+      'audit': p.best.audit || repeat('I', k.k) || e.e,
+      'out': p.best.out || k.added || CASE e.e WHEN 'D' THEN [] WHEN 'K' THEN [t.role || ':' || t.text] ELSE [CASE m.c WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || t.text] END
+    } AS way
+    FROM paths p JOIN turns t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.i = p.i + 1 JOIN closing k ON k.a = p.state
+    JOIN (VALUES ('K'), ('R'), ('D')) e(e) ON e.e = 'D' OR t.fault NOT IN ('blank', 'duplicate')
+    LEFT JOIN moves m ON e.e <> 'D' AND m.b = k.b AND CASE e.e WHEN 'K' THEN m.c = t.initial ELSE m.c <> 's' END
+    WHERE e.e = 'D' OR m.c IS NOT NULL
+  ) GROUP BY conv_id, i, state
+),
+ended AS (
+  SELECT p.conv_id, min({'cost': p.best.cost + 3 * k.k, 'audit': p.best.audit || repeat('I', k.k), 'out': p.best.out || k.added}) AS best
+  FROM paths p JOIN figures f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.n = p.i JOIN closing k ON k.a = p.state AND k.b IN ('', 'a') GROUP BY p.conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(best.cost, 0) AS cost, coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.out, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN figures f ON f.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
 SQL = {
+    "op11_vector_codes": _CODES.strip(),
+    "op13_repair": _REPAIR.strip(),
     "op7_near_duplicates": _NEAR.strip(),
     "op1_chat_format": _CHATS.strip(),
     "op8_url_filter": "WITH " + _URLS.strip(),
