@@ -338,6 +338,32 @@ def test_mixing(spark, awkward, nothing, documents):
     assert [r[0] for r in order] == sorted(r[0] for r in order)
 
 
+def test_mixing_keeps_rows_apart_that_differ_in_other_columns(spark):
+    rows = [(None, "w w", "s", k, {"a": k}) for k in "AB"] + [(7, "w", "s", k, None) for k in "CDD"] + [(None, "w", None, None, None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra string, content map<string,string>")
+    report = mixing.mix_report(docs).select("doc_id", "source", "copies").collect()
+    got = Counter((r["doc_id"], r["source"], r["extra"]) for r in mixing.mixed_documents(docs).collect())
+    alike = Counter((r[0], r[2], r[3]) for r in rows)
+    assert all(n <= 3 * alike[k] for k, n in got.items())
+    by_id, of_report = Counter(), Counter()
+    for (i, s, _), n in got.items():
+        by_id[i, s] += n
+    for r in report:
+        of_report[r["doc_id"], r["source"]] += r["copies"]
+    assert len(report) == len(rows) and by_id == +of_report
+    # a budget of all words three times over takes every row three times
+    full = Counter((r["doc_id"], r["source"], r["extra"]) for r in mixing.mixed_documents(docs, share=3.0).collect())
+    assert full == Counter({k: 3 * n for k, n in alike.items()})
+
+
+def test_mixing_deals_out_repeats(spark):
+    docs = spark.createDataFrame([(1, "w w", "s", None, None)], DOCS).crossJoin(spark.range(20_000).select()).unionByName(spark.createDataFrame([(i, "w", "t", None, None) for i in range(2, 9)], DOCS))
+    queue, _ = mixing._mix(docs, "doc_id", "text", "source", 0, 1.0, mixing.WEIGHTS, mixing.MOST_ROUNDS)
+    assert queue.count() == 20_007
+    buckets = queue.where("doc_id = 1").groupBy(F.split("row_key", "-")[F.size(F.split("row_key", "-")) - 2]).count().collect()
+    assert len(buckets) > 1 and max(r["count"] for r in buckets) < 1.2 * mixing.BUCKET_ROWS
+
+
 # ------------------------------------------------------------------ 6
 
 

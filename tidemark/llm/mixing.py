@@ -16,8 +16,10 @@ Defined results
 * null or empty texts have size 0: they belong to their source, are never
   taken more than once and cost nothing;
 * null source: a source of its own, last in order;
-* repeated rows are documents of their own; equal finish times go by id, then
-  by row order inside the bucket, which depends on columns of the row alone;
+* repeated rows are documents of their own: they are counted, dealt out by
+  number and never folded; rows that differ in any column are different, so of
+  rows that share an id, or have none, each keeps its columns;
+* equal finish times go by source, bucket and place inside it, which depend on columns of the row alone;
 * an empty table, or one without a single word, takes nothing;
 * input columns with names of the output are replaced.
 """
@@ -35,6 +37,8 @@ WEIGHTS = (1, 2, 3)
 MOST_ROUNDS = 3
 #: Documents of a source that share one hashed bucket, on average.
 BUCKET_ROWS = 4096
+#: Repeats of one row that are dealt out together.
+REPEATS = 4096
 #: The order of the mix.
 ORDER = ("finish", "row_key", "round")
 
@@ -106,15 +110,18 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     taken = queue.join(per_row, "row_key").groupBy(F.col(id_col).alias(key), F.col("content").alias(content))
     taken = cut_lineage(taken.agg(F.sum("n").alias(count), F.count("*").alias(several)))
     rows = docs
-    if taken.where(F.col(several) > 1).limit(1).count():  # rows alike in id, text and source: one of them stands for all
-        rows = docs.withColumns({key: docs[id_col], content: _content(text, source)}).dropDuplicates([key, content]).drop(key, content)
+    if taken.where(F.col(several) > 1).limit(1).count():  # rows alike in all columns: one of them stands for all
+        own = free_name("own", docs.columns, [key, content])
+        rows = docs.withColumns({key: docs[id_col], own: _content(docs, docs.columns)}).dropDuplicates([key, own]).drop(key, own)
     taken = taken.hint("merge")  # texts go by merge join at every size, so that the plan is the one that was measured
-    rows = rows.join(taken, rows[id_col].eqNullSafe(taken[key]) & (_content(text, source) == taken[content]))
+    rows = rows.join(taken, rows[id_col].eqNullSafe(taken[key]) & (_content(rows, docs.columns) == taken[content]))
     return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(count).cast("int")))).select(*docs.columns)
 
 
-def _content(text: str, source: str) -> Column:
-    return F.xxhash64(F.col(text), F.col(source))
+def _content(docs: DataFrame, columns: list[str]) -> Column:
+    """128 bits of hash over some columns (those that may hold maps by their JSON form)."""
+    told = [F.to_json(F.struct(docs[c])) if "map<" in docs.schema[c].dataType.simpleString() else docs[c] for c in columns]
+    return F.struct(F.xxhash64(*told).alias("h1"), F.xxhash64(F.lit(1), *told).alias("h2"))
 
 
 def in_mix_order(copies: DataFrame) -> DataFrame:
@@ -123,10 +130,13 @@ def in_mix_order(copies: DataFrame) -> DataFrame:
 
 
 def _mix(docs, id_col, text, source, seed, share, weights, most):
-    sizes = docs.select(
-        F.col(id_col).alias("id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.xxhash64(F.col(id_col), F.lit(seed)).alias("shuffled"), _content(text, source).alias("content")
-    )
-    sizes = cut_lineage(sizes)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), _content(docs, docs.columns).alias("content"))
+    # repeated rows are counted and made again in two steps, so that many of them are never one task's
+    counted = rows.groupBy("id", "source", "size", "content").agg(F.count("*").alias("n"))
+    dealt = counted.withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / REPEATS))))
+    first = F.col("part") * REPEATS
+    dealt = dealt.withColumn("number", F.explode(F.sequence(first, F.least(F.col("n"), first + REPEATS) - 1)))
+    sizes = cut_lineage(dealt.select("id", "source", "size", "content", F.xxhash64("id", "content", "number", F.lit(seed)).alias("shuffled")))
     targets = source_targets(sizes, share, weights, most)
     buckets = F.greatest(F.lit(1), F.ceil(F.col("docs") / BUCKET_ROWS)).cast("long")
     # the upper bits of the shuffled key pick the bucket, so buckets are consecutive stretches of the shuffled order
