@@ -106,16 +106,21 @@ def hold(key, make):
 
 def release() -> None:
     """Gives the memory of the held value, and what allocators keep in reserve, back to the system."""
+    _held.clear()
+    gc.collect()
+    trim()
+
+
+def trim() -> None:
+    """Gives what allocators keep in reserve back to the system: an idle worker stays beside the next stage."""
     import ctypes
 
     import pyarrow as pa
 
-    _held.clear()
-    gc.collect()
     pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
-    if trim is not None:
-        trim(0)
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if give_back is not None:
+        give_back(0)
 
 
 def _text_bytes(column):
@@ -141,18 +146,21 @@ def slices(batches, rows: int = SLICE_ROWS, size: int = SLICE_BYTES):
     """Arrow record batches, cut into pieces of at most so many rows and bytes of text, lists of texts included (but one row at least)."""
     import numpy as np
 
-    for batch in batches:
-        weight = np.zeros(batch.num_rows, dtype=np.int64)
-        for column in batch.columns:
-            inside = _text_bytes(column)
-            if inside is not None:
-                weight += inside
-        upto, at = np.cumsum(weight), 0
-        while at < batch.num_rows:
-            before = upto[at - 1] if at else 0
-            end = min(at + rows, max(at + 1, int(np.searchsorted(upto, before + size, side="right"))), batch.num_rows)
-            yield batch.slice(at, end - at)
-            at = end
+    try:
+        for batch in batches:
+            weight = np.zeros(batch.num_rows, dtype=np.int64)
+            for column in batch.columns:
+                inside = _text_bytes(column)
+                if inside is not None:
+                    weight += inside
+            upto, at = np.cumsum(weight), 0
+            while at < batch.num_rows:
+                before = upto[at - 1] if at else 0
+                end = min(at + rows, max(at + 1, int(np.searchsorted(upto, before + size, side="right"))), batch.num_rows)
+                yield batch.slice(at, end - at)
+                at = end
+    finally:  # the task ends, the worker stays
+        trim()
 
 
 # ------------------------------------------------------------------ columns

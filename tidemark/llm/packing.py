@@ -42,7 +42,7 @@ from tidemark.llm.common import cut_lineage, hold, slices, text_or_empty
 
 CAPACITY = 4096
 #: Remembered chunks per Python process, after which the cache starts anew, and the size of the table of chunks met once.
-CACHE_ENTRIES, MARK_BITS = 400_000, 22
+CACHE_ENTRIES, MARK_BITS = 200_000, 22
 #: Pieces of one length that are ranked together, on average; a length with more is dealt into parts.
 SALT_ROWS = 1 << 16
 #: Steps of the search, after which the incumbent stands even if no proof is found that it is the smallest packing.
@@ -77,7 +77,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # for words that are already lower-case pre-tokens: the same merges without normalizing and splitting again
-        self.merger = Tokenizer.from_file(path)
+        self.merger = Tokenizer(self.tokenizer.model)  # the same model, not a copy of it
         self.merger.normalizer = normalizers.Sequence([])
         self.merger.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
