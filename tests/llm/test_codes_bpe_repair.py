@@ -278,3 +278,15 @@ def test_order_of_audits_by_strings():
         want = min((ways[s][0] + 3 * k, ways[s][1] + "I" * k) for s in ways for k, at in repair._closures(s) if at in repair.ENDS)
         cost, edits = fast.finish()
         assert (cost, "".join(edits)) == want
+
+
+# ------------------------------------------------------------------ 3
+
+
+def test_toxicity_fit_depends_on_no_partitioning(spark):
+    from tidemark.llm import toxicity
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    twice = docs.unionByName(docs.limit(50))  # repeated rows of an id are one to learn from
+    one, two = toxicity.fit(docs, labels), toxicity.fit(twice.repartition(13), labels.repartition(5))
+    assert (one.ordinary, one.toxic) == (two.ordinary, two.toxic) and one.weights == two.weights

@@ -18,9 +18,10 @@ many times as often as in ordinary ones. Ordinary words that save bytes beside
 it all the same, being part of a passage, are put into the ordinary dictionary.
 
 Fitting uses a bounded sample (``SAMPLE_DOCS`` labelled documents per class, by
-hash of the id); document frequencies are counted by Spark, and only words of
-the toxic passages, sample windows of bounded number, and a row of feature
-values per sampled document reach the driver.
+hash of the id, one row each; ``TRAIN_DOCS`` of the ordinary ones for their
+dictionary); all windows, words and passages of its texts count. Document
+frequencies are counted by Spark, and only words of the toxic passages, windows
+of the texts to train on, and a row of feature values per sampled document reach the driver.
 
 Defined results
 ---------------
@@ -28,6 +29,7 @@ Defined results
   gets the calibrated base score, which is below the threshold unless nearly
   all learned documents are toxic;
 * labels of one document that differ count as toxic; null labels and ids are not learned from;
+* of several rows with a learned id the one of the least text is learned from;
 * without both classes among the learned documents every score is the share of
   toxic ones (0 if there are none);
 * texts are read whole; repeated rows stay; input columns other than id and
@@ -47,8 +49,8 @@ from tidemark.llm.common import Scratch, free_name, hold, slices, text_or_empty
 
 #: Labelled documents of each class that fitting reads, at most.
 SAMPLE_DOCS = 3000
-#: Windows of ordinary text that the dictionaries are trained on, and bytes of the dictionary.
-SAMPLE_WINDOWS, DICTIONARY_BYTES = 20_000, 8192
+#: Ordinary documents of the sample, at most, on whose whole texts the ordinary dictionary is trained, and bytes of the dictionary.
+TRAIN_DOCS, DICTIONARY_BYTES = 1000, 8192
 #: Bytes of a window of the dictionary's sample.
 WINDOW = 96
 #: Bytes of a piece of a longer word, and from the start of one piece to the next: a word of up to 13 bytes lies in one whole.
@@ -151,7 +153,7 @@ class Distance:
         return most
 
     def features(self, text: str) -> list[float]:
-        """1 and the largest saving, the largest share, savings weighted by their shares in all and by length, and the same over different words."""
+        """1, the largest saving, the largest share, savings weighted by their shares in all and by length, and the same over different words."""
         data = text.lower().encode()
         words = data.translate(_BLANK).split()
         missing = set(words).difference(self.words)
@@ -169,7 +171,7 @@ class Distance:
         found = [known[w] for w in counts]
         kinds = sum(share * saved for share, saved in found)
         total = sum(known[w][0] * known[w][1] * n for w, n in counts.items())
-        return [1.0, float(min(max(saved for _, saved in found), 12)), max(share for share, _ in found), math.log1p(total), math.log1p(1000.0 * total / (len(data) + 500)), math.log1p(kinds)]
+        return [1.0, float(max(saved for _, saved in found)), max(share for share, _ in found), math.log1p(total), math.log1p(1000.0 * total / (len(data) + 500)), math.log1p(kinds)]
 
 
 def _grams(word: bytes) -> set[bytes]:
@@ -231,7 +233,7 @@ def toxic_dictionary(passages: list[tuple[bytes, int]]) -> bytes:
     What training leaves out goes in front, farthest from the window.
     """
     samples, rounds = [], max((n for _, n in passages), default=0)
-    for k in range(min(rounds, 64)):
+    for k in range(rounds):
         going = [p for p, n in passages if n > k]
         going = going[k % len(going) :] + going[: k % len(going)]  # other neighbours each time
         samples += [b"".join(going[i : i + 8]) for i in range(0, len(going), 8)]
@@ -255,7 +257,8 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
     for y in (0, 1):
         some = known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)
         sample = some if sample is None else sample.unionByName(some)
-    learned = docs.select(F.col(id_col).alias("id"), F.lower(text_or_empty(text)).alias("text")).join(F.broadcast(sample), "id")
+    # the sample has two classes of at most SAMPLE_DOCS ids; a row for each
+    learned = docs.select(F.col(id_col).alias("id"), F.lower(text_or_empty(text)).alias("text")).join(F.broadcast(sample), "id").groupBy("id", "y").agg(F.min("text").alias("text"))
     scratch = Scratch(docs.sparkSession)
     learned = scratch.cut(learned)  # read four times
 
@@ -315,8 +318,8 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
                 out += [data[int(s) : int(s + n)] for s, n in zip(*windows(data), strict=True)]
             yield pa.record_batch([pa.array([zlib.crc32(w) for w in out], pa.int64()), pa.array(out, pa.binary())], names=["key", "window"])
 
-    ordinary = learned.where("y = 0").select("text").mapInArrow(some_windows, "key long, window binary").distinct()
-    ordinary = [bytes(r["window"]) for r in ordinary.orderBy("key", "window").limit(SAMPLE_WINDOWS).select("window").collect()]
+    ordinary = learned.where("y = 0").orderBy(F.xxhash64("id"), "id").limit(TRAIN_DOCS).select("text").mapInArrow(some_windows, "key long, window binary").distinct()
+    ordinary = [bytes(r["window"]) for r in ordinary.orderBy("key", "window").select("window").collect()]
     content = trained(DICTIONARY_BYTES, ordinary)
     model = Model(ordinary=content, toxic=toxic_dictionary(found))
 
@@ -338,7 +341,7 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, id_col: str = "doc_id",
         if wrong:
             model.ordinary = b" ".join([b"", *reversed(wrong), content])
 
-    rows = score_features(learned, model, "text", ["y"]).select("y", "features").collect()
+    rows = score_features(learned, model, "text", ["id", "y"]).orderBy("id").select("y", "features").collect()  # in order, so that sums don't depend on partitions
     scratch.drop(learned, single, by_word)
     x, y = np.array([r["features"] for r in rows], dtype=np.float64), np.array([r["y"] for r in rows], dtype=np.float64)
     if len(set(y.tolist())) < 2:
