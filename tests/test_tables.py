@@ -96,7 +96,22 @@ def test_service_scopes_and_refuses(spark, tmp_path):
     for text in [*(f"select * from {o}" for o in outside), "with t2 as (select * from other_secret) select * from t2", "select (select max(x) from global_temp.g) as x from t", "select java_method('java.lang.System', 'getProperty', 'user.home') as h", "select reflect('java.lang.System', 'currentTimeMillis') as h", "select `reflect`('java.lang.System', 'currentTimeMillis') as h"]:
         with pytest.raises(Exception):  # noqa: B017
             service.sql(text).collect()
+    detours = [
+        "with other_secret as (select * from other_secret) select * from other_secret", "select * from (with other_secret as (select * from other_secret) select * from other_secret)", "select * from identifier('other_secret')", "select * from identifier('other' || '_secret')",
+        "select x from t where exists (select * from identifier('other_secret'))", "select current_user() as u", "select current_user as u", "select current_catalog() as c", "select input_file_name() as f from t", "explain select * from t", "cache table t", "set spark.sql.runSQLOnFiles=true",
+        "describe t", "show tables", "select * from t lateral view explode(array((select max(x) from other_secret))) as e", "select transform(array(1), v -> (select max(x) from other_secret)) as a", "select x from t group by x having x > (select max(x) from default.other_secret)", "select * from t order by (select max(x) from other_secret)",
+    ]
+    for text in detours:
+        with pytest.raises(Exception):  # noqa: B017
+            service.sql(text).collect()
+    with pytest.raises(Forbidden):
+        service.sql("with other_secret as (select * from other_secret) select * from other_secret")
+    with pytest.raises(Forbidden):
+        service.sql("select * from spark_catalog.default.other_secret")
     spark.sql("drop table other_secret")
+    assert service.sql("with t as (select x + 1 as x from t) select max(x) as m from t").collect()[0]["m"] == 3
+    assert service.sql("select tenant_id, rank() over (order by x) as r, sum(x) over (partition by tenant_id) as n from t where x between 1 and 2 and tenant_id like 'a%' and not x is null").count() == 2
+    assert service.sql("select a.x, case when a.x in (1, 3) then 'one' else cast(a.x as string) end as s from t a left join (values (1, 'p')) as v(x, p) on a.x = v.x where exists (select 1 from t b where b.x >= a.x)").count() == 2
     assert service.sql("with y as (select x as `set`, x + 1 as load from t) select max(`set`) as m, max(load) as n from y").collect()[0] == (2, 3)
     assert service.sql("select count(*) as n from t a join t b on a.x = b.x where a.x in (select x from t)").collect()[0]["n"] == 2
     assert service.sql("select id from range(3)").count() == 3

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import nested
 from tidemark.functions.times import epoch_ms_to_ts, iso_to_ts, millis_between
-from tidemark.operators.columns import drop_meta, ensure_columns, first_available, flatten, record_hash, require_scalar
+from tidemark.operators.columns import drop_meta, ensure_columns, first_available, record_hash, require_scalar
+from tidemark.operators.json_strings import open_json_strings
 from tidemark.operators.quality import dead_letters, split
 from tidemark.operators.windows import latest_per_key
 from tidemark.plans import schemas as S
@@ -544,7 +545,7 @@ DYNAMIC_PROFILES = {"raw_history": ("messageid", "credttm"), "event_history": ("
 
 
 def dynamic(db: str, table: str) -> Pipeline:
-    """A pipeline for an unknown table: structs flattened by the schema, latest row per key of the database's profile."""
+    """A pipeline for an unknown table: structs flattened by the schema, JSON objects in strings opened by what they hold, latest row per key of the database's profile."""
     key, order = DYNAMIC_PROFILES.get(db, ("id", "created_at"))
 
     def bronze(df: DataFrame) -> DataFrame:
@@ -552,7 +553,8 @@ def dynamic(db: str, table: str) -> Pipeline:
         return hashed(df.withColumns({key: F.col(key).cast("string"), order: F.coalesce(F.col(order).cast("string"), F.col("ingested_at_ts").cast("string"))}))
 
     def silver(df: DataFrame) -> DataFrame:
-        return newest([key.lstrip("_") or key], order)(flatten(df))
+        # the payload is the row itself: it stays text
+        return newest([key.lstrip("_") or key], order)(open_json_strings(df, skip=("raw_payload", "record_hash", "source_file_path", key.lstrip("_") or key, order)))
 
     def gold(df: DataFrame) -> DataFrame:
         ts = F.coalesce(epoch_ms_to_ts(F.col(order)), iso_to_ts(F.col(order)))

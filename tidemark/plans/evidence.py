@@ -10,13 +10,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import nested
-from tidemark.operators.windows import latest_per_key, trailing_count
+from tidemark.operators.windows import by_heat, latest_per_key, running_in_slices, trailing_count
+
+
+def _day(ms: Column) -> Column:
+    return F.floor(ms / 86_400_000)
 
 
 def lifetime_count(df: DataFrame, keys: list[str], ts: str, name: str = "lifetime_count") -> DataFrame:
-    """Rows of the key up to each row's time (rules of pair and account history)."""
-    w = Window.partitionBy(*keys).orderBy(ts).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(name, F.count("*").over(w))
+    """Rows of the key up to each row's time in milliseconds, peers included (rules of pair and account history); very long histories day by day."""
+
+    def cold(df):
+        w = Window.partitionBy(*keys).orderBy(ts).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(name, F.count("*").over(w))
+
+    def hot(df):
+        return running_in_slices(df.withColumn("_slice", _day(F.col(ts))), keys, "_slice", [F.asc(ts)], {name: F.lit(1).cast("long")}, peers=True).drop("_slice")
+
+    return by_heat(df, keys, cold, hot)
 
 
 def recent_count(df: DataFrame, keys: list[str], ts: str, millis: int, name: str = "recent_count") -> DataFrame:
@@ -24,10 +35,24 @@ def recent_count(df: DataFrame, keys: list[str], ts: str, millis: int, name: str
 
 
 def gap_before(df: DataFrame, keys: list[str], ts: str, name: str = "gap_ms") -> DataFrame:
-    """Milliseconds since the last activity strictly before; 0 if there is none."""
+    """Milliseconds since the last activity strictly before; 0 if there is none. Very long histories go day by day."""
     ms = F.unix_millis(ts)
-    w = Window.partitionBy(*keys).orderBy(ms).rangeBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(name, F.coalesce(ms - F.max(ms).over(w), F.lit(0)))
+
+    def cold(df):
+        w = Window.partitionBy(*keys).orderBy(ms).rangeBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(name, F.coalesce(ms - F.max(ms).over(w), F.lit(0)))
+
+    def hot(df):
+        # the last moment of the days before, a row a day; inside a day a window
+        days = df.groupBy(*[F.col(k).alias(f"_d_{k}") for k in keys], _day(ms).alias("_d")).agg(F.max(ms).alias("_last"))
+        before = Window.partitionBy(*[f"_d_{k}" for k in keys]).orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+        days = days.withColumn("_before", F.max("_last").over(before)).drop("_last")
+        w = Window.partitionBy(*keys, "_slice").orderBy(ms).rangeBetween(Window.unboundedPreceding, -1)
+        out = df.withColumn("_slice", _day(ms)).withColumn("_inside", F.max(ms).over(w))
+        out = out.join(days, [*[F.col(k).eqNullSafe(F.col(f"_d_{k}")) for k in keys], F.col("_slice").eqNullSafe(F.col("_d"))])
+        return out.withColumn(name, F.coalesce(ms - F.coalesce("_inside", "_before"), F.lit(0))).select(*df.columns, name)
+
+    return by_heat(df, keys, cold, hot)
 
 
 def gap_to_previous(df: DataFrame, keys: list[str], ts: str, tie: str, name: str = "previous_gap_ms") -> DataFrame:
@@ -37,8 +62,9 @@ def gap_to_previous(df: DataFrame, keys: list[str], ts: str, tie: str, name: str
 
 
 def account_age(df: DataFrame, keys: list[str], ts: str, name: str = "age_ms") -> DataFrame:
-    """Milliseconds since the key's first row."""
-    return df.withColumn(name, F.unix_millis(ts) - F.min(F.unix_millis(ts)).over(Window.partitionBy(*keys)))
+    """Milliseconds since the key's first row: an aggregate before the shuffle, joined back."""
+    first = df.groupBy(*[F.col(k).alias(f"_f_{k}") for k in keys]).agg(F.min(F.unix_millis(ts)).alias("_first"))
+    return df.join(first.hint("merge"), [F.col(k).eqNullSafe(F.col(f"_f_{k}")) for k in keys]).withColumn(name, F.unix_millis(ts) - F.col("_first")).select(*df.columns, name)
 
 
 def over_threshold(amount: Column, threshold: Column, fallback: float = 10_000.0) -> Column:

@@ -9,8 +9,6 @@ that engines can be compared by value.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -22,6 +20,7 @@ from tidemark.plans import calibration, documents, evidence, metrics, views
 from tidemark.plans.service import QueryService
 from tidemark.sources import readers
 from tidemark.sources.tables import SnapshotTable, TableSpec
+from tidemark.sources.written import new_folder
 from tidemark.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,11 +49,8 @@ def text(c: str | Column) -> Column:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one that the session names; a local one only where it names none and runs locally."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if shared is None and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir names no shared folder")
-    return f"{(shared or tempfile.gettempdir()).rstrip('/')}/{name}_{uuid.uuid4().hex}"
+    """A new folder below the shared one, removed when the driver's JVM ends."""
+    return new_folder(spark, name)
 
 
 def r4(c: str | Column) -> Column:
@@ -250,8 +246,9 @@ def join_19_latest_lookup(spark, d):
 
 @query("SELECT event_id, round(value - avg(value) OVER (PARTITION BY event_type), 8) AS above_mean, count(*) OVER (PARTITION BY event_type) AS peers FROM events")
 def join_20_group_stats(spark, d):
-    w = Window.partitionBy("event_type")
-    return table(spark, d, "events").select("event_id", r8(F.col("value") - F.avg("value").over(w)).alias("above_mean"), F.count("*").over(w).alias("peers"))
+    events = table(spark, d, "events").select("event_id", "event_type", "value")
+    stats = events.groupBy("event_type").agg(F.avg("value").alias("mean"), F.count("*").alias("peers"))
+    return events.join(stats, "event_type").select("event_id", r8(F.col("value") - F.col("mean")).alias("above_mean"), "peers")
 
 
 # ------------------------------------------------------------------ aggregations
@@ -801,7 +798,7 @@ def agg_17_coverage(spark, d):
     return table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count(F.get_json_object("props", "$.k")).alias("with_k"))
 
 
-# ------------------------------------------------------------------ names of the former round for what does the whole job now
+# ------------------------------------------------------------------ names of the former round for what does the whole job now; second names, not further queries
 
 for _name, _now in (
     ("join_09_whole", "join_09_bucket_interval"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +52,43 @@ def jdbc_increment(spark: SparkSession, url: str, table: str, watermark: str, si
     return spark.read.format("jdbc").options(url=url, dbtable=table, **(options or {})).load().where(F.col(watermark) > F.lit(since))
 
 
+def stored_offset(spark: SparkSession, log: str, kind: str):
+    """The last committed high-water mark of a log of offsets, as a value of a SQL type; None before the first."""
+    if not exists(spark, log):
+        return None
+    rows = spark.read.schema("number long, upto string").json(log)
+    last = rows.agg(F.max_by("upto", "number").alias("upto")).first()["upto"]  # one row a batch
+    return spark.range(1).select(F.lit(last).cast(kind)).first()[0]
+
+
+def jdbc_batch(spark: SparkSession, url: str, table: str, watermark: str, log: str, merge: Callable[[DataFrame], None], options: dict[str, str] | None = None, parts: int = 8, by: str | None = None) -> bool:
+    """Merges the rows of a database table between the stored high-water mark and the present one; whether there were any.
+
+    The upper bound is read first, so rows that come meanwhile are the next
+    batch's. Both bounds are pushed to the database, and the read is split into
+    ``parts`` by ranges of ``by`` (a number, date or timestamp; the watermark itself by default).
+    The bound is committed when ``merge`` has returned: a failure in between
+    reads the batch again, so ``merge`` should be keyed. Rows without a watermark are never read.
+    """
+    by, options = by or watermark, options or {}
+    source = lambda query: spark.read.format("jdbc").options(url=url, dbtable=f"({query}) batch", **options)
+    schema = source(f"select {watermark} from {table}").load().schema
+    kind, lower = schema.fields[0].dataType, None
+    lower = stored_offset(spark, log, kind.simpleString())
+    quote = lambda v: f"'{v}'" if not isinstance(v, (int, float)) else str(v)
+    behind = f"where {watermark} is not null" + (f" and {watermark} > {quote(lower)}" if lower is not None else "")
+    edge = source(f"select max({watermark}) as upper_mark, min({by}) as first_part, max({by}) as last_part, count(*) as rows_behind from {table} {behind}").load().first()
+    if not edge[3]:
+        return False
+    rows = source(f"select * from {table} {behind} and {watermark} <= {quote(edge[0])}")
+    if edge[1] is not None and edge[1] != edge[2]:
+        rows = rows.options(partitionColumn=by, lowerBound=str(edge[1]), upperBound=str(edge[2]), numPartitions=str(parts))
+    merge(rows.load())
+    number = spark.read.schema("number long").json(log).agg(F.max("number")).first()[0] if lower is not None else 0
+    spark.createDataFrame([((number or 0) + 1, str(edge[0]))], "number long, upto string").coalesce(1).write.mode("append").json(log)
+    return True
+
+
 def normalize_table_name(name: str) -> str:
     """The last path part, lower-case, dashes as underscores, without a file suffix."""
     last = [p for p in name.strip("/").split("/") if p][-1]

@@ -21,6 +21,10 @@ from pyspark.sql import types as T
 
 from tidemark.operators.columns import key_hash
 from tidemark.operators.windows import latest_per_key
+from tidemark.sources.written import Written
+
+#: Files that the rows of a bucket are dealt over.
+BUCKET_FILES = 4
 
 
 @dataclass(frozen=True)
@@ -31,8 +35,9 @@ class TableSpec:
     keys: tuple[str, ...]
     ordering: str
     partition: str | None = None
-    #: Buckets of a new table; a table keeps the number it was made with.
+    #: Buckets of a new table, and rows of a bucket above which their number doubles.
     buckets: int = 16
+    bucket_rows: int = 500_000
 
 
 class SnapshotTable:
@@ -94,7 +99,8 @@ class SnapshotTable:
         Keys hold over all partitions. Applying a batch twice equals applying
         it once. Columns may come and go: missing ones are null. Only the
         buckets of the batch's keys are read and written, unless a column
-        changed its type.
+        changed its type or the number of buckets doubles. A batch whose keys lie
+        anywhere in the table touches most buckets, however many there are.
         """
         before = self.commits()
         note = self._note(before[-1]) if before else {"buckets": self.spec.buckets, "where": {}, "counts": {}, "schema": None}
@@ -106,24 +112,34 @@ class SnapshotTable:
         order = [F.desc_nulls_last(self.spec.ordering), F.desc(F.xxhash64(*data))]
         batch = latest_per_key(rows.select(*data), list(self.spec.keys), order)
         batch = batch.withColumns({"_commit_time": F.lit(instant), "_record_key": key, "_commit_seqno": F.concat(F.lit(f"{instant}_"), key)})
-        bucket = F.pmod(F.xxhash64("_record_key"), F.lit(note["buckets"])).cast("int")
+        scratch = Written(self.spark, "upsert")
+        batch = scratch.cut(batch)  # evaluated once; what follows reads it from there
+        wanted = note["buckets"]
+        held = sum(note["counts"].values()) + (batch.count() if not before or sum(note["counts"].values()) > wanted * self.spec.bucket_rows else 0)
+        while held > wanted * self.spec.bucket_rows:  # buckets keep their size as the table grows; doubled, they are all dealt anew
+            wanted *= 2
+        bucket = F.pmod(F.xxhash64("_record_key"), F.lit(wanted)).cast("int")
         merged = batch
         if note["where"]:
-            touched = {r[0] for r in rows.select(F.pmod(F.xxhash64(key), F.lit(note["buckets"])).cast("int")).distinct().collect()}  # at most one for each bucket
+            touched = None
             stored = {f.name: f.dataType for f in T.StructType.fromJson(json.loads(note["schema"])).fields}
-            if any(f.name in stored and stored[f.name] != f.dataType for f in batch.schema.fields):
-                touched = None
+            if wanted == note["buckets"] and not any(f.name in stored and stored[f.name] != f.dataType for f in batch.schema.fields):
+                touched = {r[0] for r in batch.select(bucket).distinct().collect()}  # at most one for each bucket
             old = self._read(note, touched)
             merged = old.join(batch.select("_record_key"), "_record_key", "left_anti").unionByName(batch, allowMissingColumns=True)
-        # a task for each bucket would hold a hot one whole: rows are dealt by bucket and key
-        writer = merged.withColumn("_bucket", bucket).write.mode("overwrite").partitionBy("_bucket", *([self.spec.partition] if self.spec.partition else []))
+            if wanted != note["buckets"]:
+                note = note | {"where": {}, "counts": {}}
+        # a bucket is a few files: rows are dealt by bucket and a part of the key
+        part = F.pmod(F.xxhash64("_record_key", F.lit(1)), F.lit(BUCKET_FILES))
+        writer = merged.withColumn("_bucket", bucket).repartition("_bucket", part).write.mode("overwrite").partitionBy("_bucket", *([self.spec.partition] if self.spec.partition else []))
         writer.parquet(f"{self.path}/v={instant}")
+        scratch.drop(batch)
         written = self.spark.read.schema("_commit_time string, _bucket int").parquet(f"{self.path}/v={instant}")
         counts = written.groupBy("_bucket").agg(F.count("*").alias("rows"), F.count_if(F.col("_commit_time") == instant).alias("incoming")).collect() if merged.columns else []
         where = note["where"] | {str(r["_bucket"]): instant for r in counts}
         sizes = note["counts"] | {str(r["_bucket"]): r["rows"] for r in counts}
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in merged.schema.fields])
-        note = {"instant": instant, "rows": sum(sizes.values()), "incoming": sum(r["incoming"] for r in counts), "columns": merged.columns, "buckets": note["buckets"], "where": where, "counts": sizes, "schema": schema.json()}
+        note = {"instant": instant, "rows": sum(sizes.values()), "incoming": sum(r["incoming"] for r in counts), "columns": merged.columns, "buckets": wanted, "where": where, "counts": sizes, "schema": schema.json()}
         fs, p = self._fs(f"{self.path}/_commits/{instant}.json")
         out = fs.create(p, True)
         out.write(bytearray(json.dumps(note).encode()))

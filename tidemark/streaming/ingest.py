@@ -45,3 +45,13 @@ def tumbling(df: DataFrame, ts: str, size: str, keys: list[str], aggregates: lis
         df = df.withWatermark(ts, late)
     out = df.groupBy(F.window(ts, size).alias("w"), *keys).agg(*aggregates)
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *[c for c in out.columns if c != "w"])
+
+
+def once(stream: DataFrame, keys: list[str], ts: str, late: str) -> DataFrame:
+    """The first row of each key; a repeat within ``late`` of it is dropped, and the key is forgotten behind the watermark, so state stays bounded."""
+    return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
+
+
+def dropped_late(query: StreamingQuery) -> int:
+    """Rows that stateful operators of a query dropped for lying behind the watermark, over the progress that it still holds."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
