@@ -111,6 +111,16 @@ def test_packing(spark, awkward, nothing, documents):
     assert sum(len(r["ids"]) for r in packing.sequences(packed).collect()) == packed.agg(F.sum("length")).first()[0]
 
 
+def test_pieces_with_ids_are_dealt_by_their_bytes(spark, documents, monkeypatch):
+    monkeypatch.setattr(packing, "SALT_BYTES", 4000)
+    path = tokenizer("word_bpe_49k.json")
+    packed = packing.pack_documents(documents.limit(60), path, capacity=64, with_ids=True)
+    parts = packing.sequences(packed).collect()
+    assert sum(len(r["ids"]) for r in parts) == packed.agg(F.sum("length")).first()[0] and all(len(r["ids"]) <= 64 for r in parts)
+    spots = [(r["sequence_id"], r["offset"]) for r in packed.select("sequence_id", "offset").collect()]
+    assert len(set(spots)) == len(spots)
+
+
 def test_plan():
     def optimum(items, capacity):  # exhaustive, for a few items
         best = len(items)

@@ -45,6 +45,8 @@ CAPACITY = 4096
 CACHE_ENTRIES, MARK_BITS = 200_000, 22
 #: Pieces of one length that are ranked together, on average; a length with more is dealt into parts.
 SALT_ROWS = 1 << 16
+#: The same in bytes of token ids, where pieces carry them.
+SALT_BYTES = 16 << 20
 #: Steps of the search, after which the incumbent stands even if no proof is found that it is the smallest packing.
 SEARCH_STEPS = 300_000
 
@@ -418,7 +420,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     table = pieces.sparkSession.sparkContext.broadcast(slots(plan(counts, capacity)))
 
-    parts = pieces.sparkSession.createDataFrame([(s, -(-n // SALT_ROWS)) for s, n in counts.items()], "length long, parts long")
+    each = 4 if "ids" in pieces.columns else 0
+    parts = [(s, max(-(-n // SALT_ROWS), -(-n * s * each // SALT_BYTES))) for s, n in counts.items()]
+    parts = pieces.sparkSession.createDataFrame(parts, "length long, parts long")
     salted = pieces.join(F.broadcast(parts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("parts"))).drop("parts")
     per_salt = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
