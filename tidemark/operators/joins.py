@@ -57,14 +57,19 @@ def either_key(df: DataFrame, other: DataFrame, first: tuple[str, str], second:
 def interval_points(intervals: DataFrame, points: DataFrame, keys: list[str], start: str, end: str, ts: str, residual: Column | None = None) -> DataFrame:
     """Each pair of an interval ``[start, end]`` (open if ``end`` is null) and a point in it that shares the keys, once.
 
-    Intervals are spread over the days they cover, up to the last point of
-    their keys, so the join is an equi-join on keys and day however long they are.
+    Intervals are spread over the stretches of days they cover, up to the last
+    point of their keys, so the join is an equi-join on keys and stretch. A
+    stretch is as long as an eighth of the intervals' mean length, or a day, so
+    a long interval is a few rows and not one for each day.
     """
-    points = points.withColumnsRenamed({k: f"_p_{k}" for k in keys}).withColumn("_day", F.to_date(ts))
+    points = points.withColumnsRenamed({k: f"_p_{k}" for k in keys})
     last = points.where(F.col(ts).isNotNull()).groupBy(*[f"_p_{k}" for k in keys]).agg(F.max(ts).alias("_last")).withColumnsRenamed({f"_p_{k}": f"_l_{k}" for k in keys})
     until = F.least(F.coalesce(F.col(end), F.col("_last")), F.col("_last"))
-    spread = intervals.join(last, [F.col(k) == F.col(f"_l_{k}") for k in keys]).where(F.col(start) <= until)
-    spread = spread.withColumn("_on", F.explode(F.sequence(F.to_date(start), F.to_date(until)))).drop("_last", *[f"_l_{k}" for k in keys])
+    spread = intervals.join(last, [F.col(k) == F.col(f"_l_{k}") for k in keys]).withColumn("_until", until).where(F.col(start) <= F.col("_until"))
+    mean = spread.agg(F.avg(F.unix_date(F.to_date("_until")) - F.unix_date(F.to_date(start)))).first()[0]
+    stretch = lambda at: F.floor(F.unix_date(F.to_date(at)) / max(1, round((mean or 0) / 8))).cast("int")
+    points = points.withColumn("_day", stretch(ts))
+    spread = spread.withColumn("_on", F.explode(F.sequence(stretch(start), stretch("_until")))).drop("_last", "_until", *[f"_l_{k}" for k in keys])
     on = [F.col(k) == F.col(f"_p_{k}") for k in keys] + [F.col("_on") == F.col("_day"), F.col(ts) >= F.col(start), F.col(end).isNull() | (F.col(ts) <= F.col(end))]
     return spread.join(points, on if residual is None else [*on, residual]).drop("_on", "_day", *[f"_p_{k}" for k in keys])
 
