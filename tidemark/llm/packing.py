@@ -44,7 +44,7 @@ CAPACITY = 4096
 #: Remembered chunks per Python process, after which the cache starts anew, and the size of the table of chunks met once.
 CACHE_ENTRIES, MARK_BITS = 200_000, 22
 #: Pieces of one length that are ranked together, on average; a length with more is dealt into parts.
-SALT_ROWS = 1 << 16
+SALT_ROWS = 512
 #: The same in bytes of token ids, where pieces carry them.
 SALT_BYTES = 16 << 20
 #: Steps of the search, after which the incumbent stands even if no proof is found that it is the smallest packing.
