@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from tidemark.plans import calibration_queries, executive_queries, operator_queries, table_queries, typology_queries  # noqa: F401
+from tidemark.plans import calibration_queries, case_queries, executive_queries, operator_queries, table_queries, typology_queries  # noqa: F401
 from tidemark.plans.queries import QUERIES, SQL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

@@ -153,3 +153,26 @@ def test_paths():
     assert readers.resolve_table(registry, None, "s3a://b/db/sla-policies/2024/x.json") == "sla_policies"
     assert readers.resolve_table(registry, "Alert", "s3a://b/db/other/x.json") == "alerts"
     assert readers.resolve_table(registry, None, "s3a://b/raw/unknown/x.json") is None
+
+
+def test_upsert_evaluates_a_batch_once_and_rewrites_what_it_touches(spark, tmp_path):
+    for n in (300, 3000):
+        table = SnapshotTable(spark, str(tmp_path / str(n)), TableSpec("t", ("id",), "at", buckets=4, bucket_rows=50))
+        table.upsert(spark.range(n).select("id", F.lit(1).alias("at"), F.lit("old").alias("v")))
+        evaluated = spark.sparkContext.accumulator(0)
+
+        def count(frames, evaluated=evaluated):
+            for f in frames:
+                evaluated.add(len(f))
+                yield f
+
+        batch = spark.createDataFrame([(5, 2, "new"), (n - 1, 2, "new"), (5, 1, "older")], "id long, at int, v string").mapInPandas(count, "id long, at int, v string")
+        instant = table.upsert(batch)
+        note = table._note(instant)
+        assert evaluated.value == 3
+        assert len([b for b, v in note["where"].items() if v == instant]) <= 2
+        assert note["buckets"] >= n / 50 > note["buckets"] / 4  # as many as the table's size asks for
+        assert table.read().where("v = 'new'").count() == 2 and table.read().count() == n
+    # a table that grows past its buckets is dealt anew, once
+    grown = table.upsert(spark.range(3000, 8000).select("id", F.lit(3).alias("at"), F.lit("more").alias("v")))
+    assert table._note(grown)["buckets"] > note["buckets"] and table.read().count() == 8000 and table.read().where("v = 'new'").count() == 2
