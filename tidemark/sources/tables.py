@@ -115,7 +115,7 @@ class SnapshotTable:
         scratch = Written(self.spark, "upsert")
         batch = scratch.cut(batch)  # evaluated once; what follows reads it from there
         wanted = note["buckets"]
-        held = sum(note["counts"].values()) + (batch.count() if not before or sum(note["counts"].values()) > wanted * self.spec.bucket_rows else 0)
+        held = sum(note["counts"].values()) + batch.count()  # at most, as the batch may replace what is there
         while held > wanted * self.spec.bucket_rows:  # buckets keep their size as the table grows; doubled, they are all dealt anew
             wanted *= 2
         bucket = F.pmod(F.xxhash64("_record_key"), F.lit(wanted)).cast("int")
