@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import langid, minhash, mixing, packing, toxicity
-from tidemark.llm.common import cut_lineage
+from tidemark.llm.common import Scratch
 from tidemark.llm.queries import table, tokenizer
 
 #: Cosines up to this are what unrelated vectors have by chance: a standard deviation in 1024 dimensions.
@@ -69,10 +69,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``; each result but the last is written and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = cut_lineage(docs)
-    return docs
+    """All stages on ``documents``; each result but the last is written and read again, and removed when the next one is written."""
+    docs, written = table(spark, sf_dir, "documents"), Scratch(spark)
+    for _, stage in STAGES[:-1]:
+        kept = written.cut(stage(spark, docs, sf_dir))
+        written.drop(docs)
+        docs = kept
+    return STAGES[-1][1](spark, docs, sf_dir)

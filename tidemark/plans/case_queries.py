@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.plans import case_tracking, executive
-from tidemark.plans.executive_queries import CASES, END, STAR, START, alerts, cases, frame, tasks
+from tidemark.plans.executive_queries import BEFORE, CASES, END, NOW, STAR, START, alerts, cases, frame, tasks
 from tidemark.plans.queries import query, r8
 
 _FINAL = "('STATUS_71_AUTOCLOSED_CONFIRMED', 'STATUS_72_AUTOCLOSED_REFUTED', 'STATUS_81_CLOSED_REFUTED', 'STATUS_82_CLOSED_CONFIRMED', 'STATUS_83_CLOSED_INCONCLUSIVE', 'STATUS_99_ABANDONED')"
@@ -66,3 +66,28 @@ def met_11_workload(spark, d):
 @query(f"{STAR}, a AS (SELECT CAST(floor(date_diff('second', case_created_ts, TIMESTAMP '1999-07-01') / 86400) AS BIGINT) AS d FROM cases WHERE NOT (status LIKE '%CLOSED%' OR status LIKE '%COMPLETE%' OR status LIKE '%DISPOSED%')) SELECT CASE WHEN d <= 7 THEN '0-7' WHEN d <= 14 THEN '8-14' WHEN d <= 30 THEN '15-30' WHEN d <= 60 THEN '31-60' ELSE '60+' END AS age_bucket, count(*) AS cases FROM a GROUP BY 1")
 def met_11_ages(spark, d):
     return _page(spark, d)["ages"]
+
+
+_WHEN = "CASE year({0}) WHEN 1997 THEN 'current' WHEN 1996 THEN 'previous' END"
+_CLOSED = "(status LIKE '%CLOSED%' OR status LIKE '%COMPLETE%' OR status LIKE '%DISPOSED%')"
+
+
+@query(
+    f"""{STAR}, s AS (SELECT case_id, {_WHEN.format('created_at_ts')} AS period, bool_or(alert_type_norm IN ('AML', 'FRAUD_AND_AML')) AS aml, bool_or(alert_type_norm IN ('FRAUD', 'FRAUD_AND_AML')) AS fraud, bool_or(alert_type_norm = 'FRAUD_AND_AML') AS mixed FROM alerts GROUP BY ALL),
+    c AS (SELECT cases.*, {_WHEN.format('case_created_ts')} AS period FROM cases), o AS (SELECT period, avg(r) AS r FROM (SELECT period, case_owner_user_id, round(count(*) FILTER ({_CLOSED}) / count(*) * 100, 2) AS r FROM c WHERE case_owner_user_id IS NOT NULL GROUP BY ALL) GROUP BY 1),
+    p AS (SELECT c.period, count(*) FILTER (case_creation_type = 'AUTOMATIC_SYSTEM') AS cases_from_alerts, count(*) FILTER (case_creation_type <> 'AUTOMATIC_SYSTEM') AS manual_cases, count(*) FILTER (aml) AS aml_cases, count(*) FILTER (fraud) AS fraud_cases, count(*) FILTER (mixed) AS fraud_aml_cases,
+      count(*) FILTER (status LIKE '%AUTO%CLOSED%') AS auto_closed_cases, count(*) FILTER ({_CLOSED}) AS closed_cases, count(*) FILTER (has_parent_case = 1) AS reopened_cases FROM c LEFT JOIN s ON c.case_id = s.case_id AND c.period = s.period WHERE c.period IS NOT NULL GROUP BY 1)
+    SELECT p.*, round(coalesce(o.r, 0), 6) AS avg_closure_rate_pct, round(CASE WHEN closed_cases = 0 THEN 0 ELSE reopened_cases / closed_cases * 100 END, 8) AS reopened_rate_pct FROM p LEFT JOIN o USING (period)"""
+)
+def met_17_periods(spark, d):
+    out = case_tracking.case_periods(cases(spark, d), alerts(spark, d), NOW, BEFORE)
+    return out.withColumns({"avg_closure_rate_pct": F.round("avg_closure_rate_pct", 6), "reopened_rate_pct": r8("reopened_rate_pct")})
+
+
+@query(
+    f"""{STAR}, a AS (SELECT alerts.case_id, case_creation_type, status, epoch(case_updated_ts) - epoch(created_at_ts) AS s FROM alerts LEFT JOIN cases USING (case_id) WHERE year(created_at_ts) = 1997)
+    SELECT 'closed' AS frame, 'all' AS value, count(*) AS cases, round(avg(created_to_updated_ms) / 3600000, 6) AS avg_hours FROM cases WHERE status LIKE '%CLOSED%' AND year(case_updated_ts) = 1997
+    UNION ALL SELECT 'case_creation_type', case_creation_type, count(DISTINCT case_id), round(avg(s) / 3600, 6) FROM a GROUP BY 2 UNION ALL SELECT 'status', status, count(DISTINCT case_id), round(avg(s) / 3600, 6) FROM a GROUP BY 2"""
+)
+def met_09_disposition_times(spark, d):
+    return case_tracking.disposition_times(cases(spark, d), alerts(spark, d), START, END, ("case_creation_type", "status")).withColumn("avg_hours", F.round("avg_hours", 6))

@@ -68,3 +68,40 @@ def case_lists(cases: DataFrame, alerts: DataFrame, start: date, end: date) -> D
     lists = F.filter(F.array(*[F.when(F.coalesce(test, F.lit(False)), F.lit(name)) for name, test in on.items()]), lambda x: x.isNotNull())
     rows = with_category(cases, alerts).withColumn("list", F.explode(lists))
     return rows.select("list", "case_id", "status", "case_category", "case_creation_type", "case_created_ts", "case_updated_ts").distinct()
+
+
+def case_periods(cases: DataFrame, alerts: DataFrame, now: tuple[date, date], before: tuple[date, date]) -> DataFrame:
+    """A row per period, ``current`` and ``previous``: cases created in it by origin, by kind of their alerts of the same period, closed, automatically closed and reopened ones, and the owners' mean closure rate.
+
+    Rates are in per cent, an owner's rounded to two places before the mean; 0 without a closed case or an owner.
+    """
+    label = lambda ts: F.when(_within(ts, *now), "current").when(_within(ts, *before), "previous")
+    kind = F.upper("alert_type_norm")
+    said = alerts.where("case_id is not null").select("case_id", label("created_at_ts").alias("period"), kind.alias("kind")).where("period is not null")
+    any_ = lambda test, name: F.max(F.coalesce(test, F.lit(False)).cast("int")).alias(name)
+    said = said.groupBy("case_id", "period").agg(any_(F.col("kind").isin("AML", "FRAUD_AND_AML"), "aml"), any_(F.col("kind").isin("FRAUD", "FRAUD_AND_AML"), "fraud"), any_(F.col("kind") == "FRAUD_AND_AML", "mixed"))
+    rows = cases.withColumn("period", label("case_created_ts")).where("period is not null").join(said, ["case_id", "period"], "left")
+    done, status, automatic = F.coalesce(closed(F.col("status"), "like"), F.lit(False)), F.upper("status"), F.col("case_creation_type") == AUTOMATIC
+    counts = {
+        "cases_from_alerts": automatic, "manual_cases": ~automatic, "aml_cases": F.col("aml") == 1, "fraud_cases": F.col("fraud") == 1, "fraud_aml_cases": F.col("mixed") == 1, "auto_closed_cases": status.like("%AUTO%CLOSED%"), "closed_cases": done, "reopened_cases": F.col("has_parent_case") == 1,
+    }
+    out = rows.groupBy("period").agg(*[F.count_if(test).alias(n) for n, test in counts.items()])
+    owners = rows.where("case_owner_user_id is not null").groupBy("period", "case_owner_user_id").agg(F.round(F.count_if(done) / F.count("*") * 100, 2).alias("rate"))
+    out = out.join(owners.groupBy("period").agg(F.avg("rate").alias("avg_closure_rate_pct")), "period", "left")
+    return out.withColumns({"avg_closure_rate_pct": F.coalesce("avg_closure_rate_pct", F.lit(0.0)), "reopened_rate_pct": share(F.col("reopened_cases"), F.col("closed_cases")) * 100})
+
+
+def disposition_times(cases: DataFrame, alerts: DataFrame, start: date, end: date, by: tuple[str, ...] = ("case_type", "status")) -> DataFrame:
+    """Hours: from creation to end of cases closed in the period (frame ``closed``), and from an alert of the period to its case's last change, by columns of cases: ``frame, value, cases, avg_hours``.
+
+    Alerts are reduced to their number and mean time per case before the join, so an alert counts once and no case is repeated.
+    """
+    ended = cases.where(F.coalesce(closed(F.col("status"), "contains"), F.lit(False)) & _within("case_updated_ts", start, end))
+    whole = ended.agg(F.lit("closed").alias("frame"), F.lit("all").alias("value"), F.count("*").alias("cases"), (F.avg("created_to_updated_ms") / 3_600_000).alias("avg_hours"))
+    told = in_date_range(alerts.where("case_id is not null"), "created_at_ts", start, end).groupBy("case_id").agg(F.count("*").alias("alerts"), F.sum(F.unix_timestamp("created_at_ts")).alias("at"))
+    rows = told.join(cases.select("case_id", "case_updated_ts", *by), "case_id", "left")
+    # the sum of the times from each alert to the case's last change
+    hours = (F.unix_timestamp("case_updated_ts") * F.col("alerts") - F.col("at")) / 3600
+    frames = F.array(*[F.struct(F.lit(c).alias("frame"), F.col(c).cast("string").alias("value")) for c in by])
+    timed = rows.select(F.inline(frames), hours.alias("hours"), F.when(F.col("case_updated_ts").isNotNull(), F.col("alerts")).alias("n")).groupBy("frame", "value")
+    return whole.unionByName(timed.agg(F.count("*").alias("cases"), F.try_divide(F.sum("hours"), F.sum("n")).alias("avg_hours")))
