@@ -228,6 +228,7 @@ def test_hot_keys_give_what_plain_windows_give(spark, monkeypatch):
         "lifetime": lambda: evidence.lifetime_count(df, ["k"], "ms"),
         "recent": lambda: evidence.recent_count(df, ["k"], "ts", 28_800_000),
         "gap": lambda: evidence.gap_before(df, ["k"], "ts"),
+        "previous": lambda: evidence.gap_to_previous(df, ["k"], "ts", "id"),
     }
     plain = {n: sorted(map(tuple, f().select(*sorted(f().columns)).collect()), key=repr) for n, f in jobs.items()}
     monkeypatch.setattr(windows, "HOT_ROWS", 300)

@@ -56,9 +56,23 @@ def gap_before(df: DataFrame, keys: list[str], ts: str, name: str = "gap_ms") ->
 
 
 def gap_to_previous(df: DataFrame, keys: list[str], ts: str, tie: str, name: str = "previous_gap_ms") -> DataFrame:
-    """Milliseconds between each row and the one before it in order; null for the first."""
+    """Milliseconds between each row and the one before it in order; null for the first. Very long histories go day by day."""
     ms = F.unix_millis(ts)
-    return df.withColumn(name, ms - F.lag(ms).over(Window.partitionBy(*keys).orderBy(ts, tie)))
+
+    def cold(df):
+        return df.withColumn(name, ms - F.lag(ms).over(Window.partitionBy(*keys).orderBy(ts, tie)))
+
+    def hot(df):
+        # the first row of a day is behind the last of the days before
+        days = df.groupBy(*[F.col(k).alias(f"_d_{k}") for k in keys], _day(ms).alias("_d")).agg(F.max(ms).alias("_last"))
+        before = Window.partitionBy(*[f"_d_{k}" for k in keys]).orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+        days = days.withColumn("_before", F.max("_last").over(before)).drop("_last")
+        inside = F.lag(ms).over(Window.partitionBy(*keys, "_slice").orderBy(ts, tie))
+        out = df.withColumn("_slice", _day(ms)).withColumn("_inside", inside)
+        out = out.join(days, [*[F.col(k).eqNullSafe(F.col(f"_d_{k}")) for k in keys], F.col("_slice").eqNullSafe(F.col("_d"))])
+        return out.withColumn(name, ms - F.coalesce("_inside", "_before")).select(*df.columns, name)
+
+    return by_heat(df, keys, cold, hot)
 
 
 def account_age(df: DataFrame, keys: list[str], ts: str, name: str = "age_ms") -> DataFrame:
