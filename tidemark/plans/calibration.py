@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.aggregates import share
 from tidemark.operators.joins import either_key
+from tidemark.operators.quantiles import bounds, discrete_quantiles
 from tidemark.operators.windows import running_in_slices
 from tidemark.sources.written import Written
 
@@ -112,8 +113,9 @@ def calibration_set(results: DataFrame, transactions: DataFrame, typologies: Dat
     ``results`` has ``alert_id, tenant_id, typology_id, typology_cfg, typology_score, rule_id, rule_cfg, current_rule_weight,
     prediction_outcome, created_at_ts, alert_tx_msg_id, tx_original_end_to_end_id, tx_instg_agent, tx_instd_agent``. A transaction is found by message
     or else by end-to-end id, two equi-joins. Statistics are aggregated before the
-    shuffle - counts, moments and quantile summaries of bounded size - and
+    shuffle - counts, moments, quantile summaries of bounded size for amounts - and
     joined back by merge, so a typology with much of the table is split among tasks.
+    Quantiles of scores are exact: scores are counted by value. Those of amounts have ranks off by up to ``1 / accuracy``.
     """
     written = Written(results.sparkSession, "calibration")
     columns = ["tx_type", "tx_amount", "instg_mmb_id", "instd_mmb_id", "charge_count", "event_ts"]
@@ -149,13 +151,14 @@ def calibration_set(results: DataFrame, transactions: DataFrame, typologies: Dat
     per_typology = rows.groupBy("typology_id", "tenant_id").agg(
         F.count("*").alias("typology_total_alerts"), total("is_true_positive", "tp"), total("is_false_positive", "fp"), total("is_true_negative", "tn"), total("is_false_negative", "fn"),
         F.avg("typology_score").alias("typology_avg_score"), F.stddev("typology_score").alias("typology_stddev_score"), F.avg("tx_amount").alias("typology_avg_tx_amount"), total("is_high_value_tx", "typology_high_value_count"), total("is_cross_border", "typology_cross_border_count"),
-        quantile("typology_score", 0.5, "median_score"), quantile("typology_score", 0.25, "p25_score"), quantile("typology_score", 0.75, "p75_score"), quantile("typology_score", 0.9, "p90_score"), quantile("tx_amount", 0.5, "median_tx_amount"), quantile("tx_amount", 0.9, "p90_tx_amount"),
+        quantile("tx_amount", 0.5, "median_tx_amount"), quantile("tx_amount", 0.9, "p90_tx_amount"),
     )
     tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
     per_typology = per_typology.withColumns({"typology_precision": share(tp, tp + fp), "typology_recall": share(tp, tp + fn), "typology_accuracy": share(tp + tn, F.col("typology_total_alerts")), "typology_fpr": share(fp, fp + tn)})
     per_typology = per_typology.withColumn("typology_f1_score", share(2 * F.col("typology_precision") * F.col("typology_recall"), F.col("typology_precision") + F.col("typology_recall")))
     per_typology = per_typology.withColumnsRenamed({"tp": "typology_true_positives", "fp": "typology_false_positives", "tn": "typology_true_negatives", "fn": "typology_false_negatives"})
-    for stats, keys in ((per_rule, ["rule_id", "typology_id"]), (per_typology, ["typology_id", "tenant_id"])):
+    scores = discrete_quantiles(rows, ["typology_id", "tenant_id"], "typology_score", {"typology_median_score": 0.5, "typology_p25_score": 0.25, "typology_p75_score": 0.75, "typology_p90_score": 0.9})
+    for stats, keys in ((per_rule, ["rule_id", "typology_id"]), (per_typology, ["typology_id", "tenant_id"]), (scores, ["typology_id", "tenant_id"])):
         right = stats.withColumnsRenamed({k: f"_s_{k}" for k in keys}).hint("merge")
         on = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]
         rows = rows.join(right, on, "left").drop(*[f"_s_{k}" for k in keys])
