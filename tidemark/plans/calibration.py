@@ -180,10 +180,21 @@ def _with_metrics(counts: DataFrame, totals: dict[str, int]) -> DataFrame:
     return out.withColumn("extra_alert_rate", share(F.col("new_tp") + F.col("new_fp"), n))
 
 
-def _cuts(df: DataFrame, features: list[str], quantiles, accuracy: int) -> dict[str, list[float]]:
-    """Distinct thresholds of each feature; none for a constant or empty one. Features x quantiles numbers, from one pass."""
-    found = df.agg(*[F.percentile_approx(F.col(c).cast("double"), list(quantiles), accuracy).alias(f"q_{c}") for c in features], *[f(F.col(c)).alias(f"{n}_{c}") for c in features for n, f in (("low", F.min), ("high", F.max))]).first()
-    return {c: sorted(set(found[f"q_{c}"] or [])) if found[f"low_{c}"] != found[f"high_{c}"] else [] for c in features}
+#: Slices of a feature whose exact quantiles are sought.
+SLICES = 32
+
+
+def _cuts(df: DataFrame, features: list[str], quantiles) -> dict[str, list[float]]:
+    """Distinct thresholds of each feature, exact discrete quantiles; none for a constant or empty one. Features x quantiles numbers reach the driver."""
+    if not features:
+        return {}
+    between, feature = bounds(df, features, SLICES), F.col("feature")
+    ends = df.agg(*[f(F.col(c)).alias(f"{n}_{c}") for c in features for n, f in (("low", F.min), ("high", F.max))]).first()
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in features])))
+    slice_ = lambda v: F.coalesce(*[F.when(feature == c, sum(((v > b).cast("int") for b in between[c]), F.lit(0))) for c in features])
+    found = discrete_quantiles(long, ["feature"], "v", {f"q{i}": p for i, p in enumerate(quantiles)}, slice_).collect()
+    found = {r["feature"]: sorted(set(r[1:])) for r in found}
+    return {c: found.get(c, []) if ends[f"low_{c}"] != ends[f"high_{c}"] else [] for c in features}
 
 
 def _place(feature: str, cuts: list[float]) -> Column:
@@ -197,14 +208,14 @@ def _totals(df: DataFrame, positive: Column, alerted: Column) -> dict[str, int]:
     return r.asDict()
 
 
-def threshold_rules(df: DataFrame, features: list[str], positive: Column, alerted: Column, quantiles=QUANTILES, accuracy: int = 1_000_000) -> DataFrame:
+def threshold_rules(df: DataFrame, features: list[str], positive: Column, alerted: Column, quantiles=QUANTILES) -> DataFrame:
     """All rules ``feature > t`` and ``feature < t`` at the quantiles, with the metrics of alerting on them besides what is alerted already.
 
     One pass counts a histogram between the thresholds of every feature; what a
     rule fires on is a running sum over a few cells. Comparisons are strict; null never fires.
     """
     positive, alerted = (F.coalesce(c, F.lit(False)) for c in (positive, alerted))
-    cuts, totals = _cuts(df, features, quantiles, accuracy), _totals(df, positive, alerted)
+    cuts, totals = _cuts(df, features, quantiles), _totals(df, positive, alerted)
     cells = F.array(*[F.struct(F.lit(c).alias("feature"), _place(c, cuts[c]).alias("place")) for c in features if cuts[c]] or [F.struct(F.lit("").alias("feature"), F.lit(None).cast("int").alias("place"))])
     cells = df.select(positive.alias("y"), alerted.alias("a"), F.inline(cells)).where("place is not null").groupBy("feature", "place").agg(F.count("*").alias("fired"), F.count_if(F.col("y") & ~F.col("a")).alias("new_tp"), F.count_if(~F.col("y") & ~F.col("a")).alias("new_fp"))
     grid = [(c, d, k, float(t)) for c in features for k, t in enumerate(cuts[c]) for d in ("gt", "lt")]
@@ -215,11 +226,11 @@ def threshold_rules(df: DataFrame, features: list[str], positive: Column, alerte
     return _with_metrics(counts, totals)
 
 
-def paired_rules(df: DataFrame, pairs: list[tuple[str, str]], positive: Column, alerted: Column, quantiles=QUANTILES, accuracy: int = 1_000_000) -> DataFrame:
+def paired_rules(df: DataFrame, pairs: list[tuple[str, str]], positive: Column, alerted: Column, quantiles=QUANTILES) -> DataFrame:
     """All rules of two conditions on a pair of features, from one two-dimensional histogram a pair."""
     positive, alerted = (F.coalesce(c, F.lit(False)) for c in (positive, alerted))
     features = list(dict.fromkeys(c for p in pairs for c in p))
-    cuts, totals = _cuts(df, features, quantiles, accuracy), _totals(df, positive, alerted)
+    cuts, totals = _cuts(df, features, quantiles), _totals(df, positive, alerted)
     pairs = [(a, b) for a, b in pairs if cuts[a] and cuts[b]]
     grid = [(k, a, d, i, float(t), b, e, j, float(u)) for k, (a, b) in enumerate(pairs) for i, t in enumerate(cuts[a]) for d in ("gt", "lt") for j, u in enumerate(cuts[b]) for e in ("gt", "lt")]
     schema = "pair int, feature string, direction string, i int, threshold double, feature_2 string, direction_2 string, j int, threshold_2 double"
