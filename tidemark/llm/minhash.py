@@ -326,9 +326,10 @@ def _block_links(similarity: float):
         if minors.num_rows and members.num_rows:
             id_x, label_x, n_x, x = sets(minors, "minor_")
             id_y, label_y, n_y, y = sets(members)
-            values, count = np.unique(y, return_counts=True)
-            values = np.intersect1d(values[count > 1], x)  # what one member alone holds is shared with nobody
             row_x, row_y = np.repeat(np.arange(len(n_x)), n_x), np.repeat(np.arange(len(n_y)), n_y)
+            # what one document alone holds is shared with nobody; a minor member may or may not be in this block of members, too
+            values, count = np.unique(np.concatenate([y, x[~np.isin(id_x, id_y)[row_x]]]), return_counts=True)
+            values = np.intersect1d(np.intersect1d(values[count > 1], x), y)
             at_x, at_y = np.searchsorted(values, x), np.searchsorted(values, y)
             for part in range(0, len(n_x) if len(values) else 0, BLOCK_PART):
                 rows = slice(part, part + BLOCK_PART)
