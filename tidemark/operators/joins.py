@@ -15,6 +15,18 @@ def enrich(df: DataFrame, other: DataFrame, keys: list[str], columns: list[str],
     return df.join(right, keys, "left")
 
 
+#: Parts among which a join deals rows without a key.
+NULL_PARTS = 4096
+
+
+def left_join_known(df: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join on a key that much of ``df`` may lack: rows without it match nothing and are dealt among tasks, where a plain join sends them all to one."""
+    apart = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(NULL_PARTS)) + 1).otherwise(0)
+    # always 0, but no literal: that would be folded into a filter, and rows be dealt by the key alone
+    other = right.where(F.col(key).isNotNull()).withColumn("_apart", F.pmod(F.xxhash64(key), F.lit(1)))
+    return df.withColumn("_apart", apart.cast("long")).join(other, [key, "_apart"], "left").drop("_apart")
+
+
 def flag_by_key(df: DataFrame, other: DataFrame, keys: list[str], flag: Column, name: str) -> DataFrame:
     """Left join to the maximum of a flag per key; 0 without a match."""
     flags = other.groupBy(*keys).agg(F.max(flag.cast("int")).alias(name))
@@ -50,7 +62,8 @@ def either_key(df: DataFrame, other: DataFrame, first: tuple[str, str], second:
     """
     a = other.where(F.col(first[1]).isNotNull()).select(F.col(first[1]).alias("_k1"), F.struct(*columns).alias("_m1")).dropDuplicates(["_k1"])
     b = other.where(F.col(second[1]).isNotNull()).select(F.col(second[1]).alias("_k2"), F.struct(*columns).alias("_m2")).dropDuplicates(["_k2"])
-    out = df.join(a, F.col(first[0]) == F.col("_k1"), "left").join(b, F.col(second[0]) == F.col("_k2"), "left").withColumn("_m", F.coalesce("_m1", "_m2"))
+    out = left_join_known(df, a.withColumnRenamed("_k1", first[0]), first[0])
+    out = left_join_known(out, b.withColumnRenamed("_k2", second[0]), second[0]).withColumn("_m", F.coalesce("_m1", "_m2"))
     return out.select(*df.columns, *[F.col(f"_m.{c}").alias(c) for c in columns])
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import trend
+from tidemark.operators.joins import left_join_known
 from tidemark.plans.executive import AUTOMATIC, CONFIRMED, INCONCLUSIVE, REFUTED, pct
 from tidemark.plans.metrics import closed
 
@@ -32,7 +33,7 @@ def _done() -> Column:
 def per_case(alerts: DataFrame, payments: DataFrame) -> DataFrame:
     """What a case's alerts and their payments say of it: kinds of alerts, whether it closes by itself, the largest amount."""
     paid = payments.where("tx_msg_id is not null").groupBy("tx_msg_id").agg(F.max((F.col("tx_status") == "BLOCKED").cast("int")).alias("blocked"), F.max("tx_amount").alias("paid"))
-    rows = alerts.where("case_id is not null").select("case_id", "tx_msg_id", "alert_type_norm", "prediction_outcome_norm").join(paid, "tx_msg_id", "left")
+    rows = left_join_known(alerts.where("case_id is not null").select("case_id", "tx_msg_id", "alert_type_norm", "prediction_outcome_norm"), paid, "tx_msg_id")
     kind, outcome = F.col("alert_type_norm"), F.col("prediction_outcome_norm")
     by_itself = (outcome == "FALSE_POSITIVE") | ((kind == "FRAUD") & (outcome == "TRUE_POSITIVE") & (F.col("blocked") == 1))
     any_ = lambda test, name: F.max(F.coalesce(test, F.lit(False)).cast("int")).alias(name)
