@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import in_date_range
 from tidemark.operators.aggregates import share
+from tidemark.operators.joins import left_join_known
 from tidemark.plans.metrics import case_ages, case_inventory, closed, task_workload
 
 # States of cases and payments, and message types, as the source systems write them.
@@ -157,9 +158,10 @@ def alert_payments(alerts: DataFrame, transactions: DataFrame) -> DataFrame:
     messages = transactions.where("tx_msg_id is not null").groupBy(F.trim("tx_msg_id").alias("tx_msg_id")).agg(F.min_by(F.struct(F.trim("end_to_end_id").alias("e2e"), "tx_status", "event_ts"), age).alias("message"))
     payments = transactions.where(F.col("tx_type").isin(*PAYMENT_TYPES) & F.col("end_to_end_id").isNotNull()).groupBy(F.trim("end_to_end_id").alias("e2e")).agg(F.min_by(F.struct("tx_amount", "tx_status", "event_ts"), age).alias("payment"))
     rows = alerts.where("case_id is not null").select("case_id", "alert_type_norm", "prediction_outcome_norm", F.trim("tx_msg_id").alias("tx_msg_id"), F.trim("tx_original_e2e_id").alias("alert_e2e"), "tx_amount", "tx_status").distinct()
-    rows = rows.join(messages, "tx_msg_id", "left").withColumn("bridge_e2e", F.col("message.e2e"))
-    rows = rows.join(payments.select(F.col("e2e").alias("bridge_e2e"), F.col("payment").alias("bridged")), "bridge_e2e", "left")
-    rows = rows.join(payments.select(F.col("e2e").alias("alert_e2e"), F.col("payment").alias("direct")), "alert_e2e", "left")
+    # any of the keys may be missing in much of the alerts
+    rows = left_join_known(rows, messages, "tx_msg_id").withColumn("bridge_e2e", F.col("message.e2e"))
+    rows = left_join_known(rows, payments.select(F.col("e2e").alias("bridge_e2e"), F.col("payment").alias("bridged")), "bridge_e2e")
+    rows = left_join_known(rows, payments.select(F.col("e2e").alias("alert_e2e"), F.col("payment").alias("direct")), "alert_e2e")
     return rows.select(
         "case_id", "alert_type_norm", "prediction_outcome_norm",
         F.coalesce("bridge_e2e", "alert_e2e").alias("payment_e2e"),
