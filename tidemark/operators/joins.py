@@ -27,6 +27,16 @@ def left_join_known(df: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return df.withColumn("_apart", apart.cast("long")).join(other, [key, "_apart"], "left").drop("_apart")
 
 
+#: Rows of a large table that a task should get of a shuffle.
+TASK_ROWS = 500_000
+
+
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` dealt by the keys among enough tasks for ``rows`` rows, if the session's shuffle partitions are too few for them."""
+    tasks = -(-rows // TASK_ROWS)
+    return df if tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(tasks, *keys)
+
+
 def flag_by_key(df: DataFrame, other: DataFrame, keys: list[str], flag: Column, name: str) -> DataFrame:
     """Left join to the maximum of a flag per key; 0 without a match."""
     flags = other.groupBy(*keys).agg(F.max(flag.cast("int")).alias(name))

@@ -11,7 +11,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import windows
+from tidemark.operators import joins, windows
 from tidemark.plans import executive
 from tidemark.plans.queries import query, scratch, table
 from tidemark.sources import sinks
@@ -249,9 +249,14 @@ def join_15_date_key(spark, d):
 )
 def join_16_star(spark, d):
     line, order, customer, nation, part = (table(spark, d, n).alias(a) for n, a in (("lineitem", "l"), ("orders", "o"), ("customer", "c"), ("nation", "n"), ("part", "p")))
-    rows = line.join(order, F.col("l.l_orderkey") == F.col("o.o_orderkey"), "left").join(customer, F.col("o.o_custkey") == F.col("c.c_custkey"), "left")
-    rows = rows.join(nation, F.col("c.c_nationkey") == F.col("n.n_nationkey"), "left").join(part, F.col("l.l_partkey") == F.col("p.p_partkey"), "left")
-    return rows.groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "o_orderstatus", "c_mktsegment", "n_name", "p_brand").agg(F.count("*").alias("copies"))
+    n = line.count()  # Parquet footers tell it; tasks grow in number with the table, not in size
+    deal = lambda df, key: joins.spread(df, n, key)
+    rows = deal(line, "l.l_orderkey").join(deal(order, "o.o_orderkey"), F.col("l.l_orderkey") == F.col("o.o_orderkey"), "left")
+    rows = deal(rows, "o.o_custkey").join(deal(customer, "c.c_custkey"), F.col("o.o_custkey") == F.col("c.c_custkey"), "left")
+    rows = rows.join(nation, F.col("c.c_nationkey") == F.col("n.n_nationkey"), "left")
+    rows = deal(rows, "l.l_partkey").join(deal(part, "p.p_partkey"), F.col("l.l_partkey") == F.col("p.p_partkey"), "left")
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "o_orderstatus", "c_mktsegment", "n_name", "p_brand"]
+    return rows.groupBy(*keys).agg(F.count("*").alias("copies"))
 
 
 @query("SELECT o_orderkey, o_custkey, n AS customer_orders FROM orders JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) >= 12) USING (o_custkey)")
