@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_lineage, hold, slices, text_or_empty
+from tidemark.llm.common import cut_lineage, hold, release, slices, text_or_empty
 
 CAPACITY = 4096
 #: Remembered chunks per Python process, after which the cache starts anew, and the size of the table of chunks met once.
@@ -419,6 +419,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     # at most a row per length up to the capacity
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     table = pieces.sparkSession.sparkContext.broadcast(slots(plan(counts, capacity)))
+    release()  # what the search for the plan took of the driver's memory
 
     each = 4 if "ids" in pieces.columns else 0
     parts = [(s, max(-(-n // SALT_ROWS), -(-n * s * each // SALT_BYTES))) for s, n in counts.items()]
