@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.written import Written
 
-#: Rows of points whose distances are held at once.
-ROWS_AT_ONCE = 1024
+#: Points, and pairs of them, whose distances are held at once; neighbours in order on either side that are tried first.
+ROWS_AT_ONCE, PAIRS_AT_ONCE, NEXT = 256, 1_000_000, 16
 
 
 def spanning_forest(edges: DataFrame, written: Written) -> tuple[DataFrame, DataFrame]:
@@ -74,14 +74,75 @@ def _neighbourhoods(points: DataFrame, over: list[int], reach: float) -> DataFra
 
 def _matrix(column):
     import numpy as np
+    import pyarrow as pa
 
-    return np.array(column.to_pylist(), dtype=np.float64).reshape(len(column), -1)
+    lists = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
+    return np.asarray(lists.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(len(lists), -1)
 
 
 def _distances(x, y):
     import numpy as np
 
-    return np.sqrt(((x[:, None, :] - y[None, :, :]) ** 2).sum(axis=2))
+    out = np.zeros((len(x), len(y)))
+    for k in range(x.shape[1]):
+        out += (x[:, k, None] - y[None, :, k]) ** 2
+    return np.sqrt(out)
+
+
+def _along(v):
+    """Points in order of the component that varies most, and that component."""
+    import numpy as np
+
+    axis = int(np.ptp(v, axis=0).argmax()) if v.size else 0
+    order = np.argsort(v[:, axis], kind="stable") if v.size else np.zeros(len(v), dtype=np.int64)
+    return order, v[order, axis] if v.size else np.zeros(len(v))
+
+
+def _span(along, rows, bound, of=None):
+    """From where to where points lie that may be within ``bound`` of ``rows``."""
+    import numpy as np
+
+    of, at = along if of is None else of, along[rows]
+    pad = bound * (1 + 1e-9) + 1e-9 * max(abs(along[0]), abs(along[-1]))  # for what rounding adds
+    return int(np.searchsorted(of, at.min() - pad)), int(np.searchsorted(of, at.max() + pad, side="right"))
+
+
+def _blocks(v, along, rows, bound):
+    """``rows`` by parts, each with the points that may be within their bounds, as ``rows, from, distances``; ``v`` is in order."""
+    stack = [rows[part : part + ROWS_AT_ONCE] for part in range(0, len(rows), ROWS_AT_ONCE)][::-1]
+    while stack:
+        part = stack.pop()
+        lo, hi = _span(along, part, bound[part].max())
+        if len(part) > 1 and len(part) * (hi - lo) > PAIRS_AT_ONCE:
+            stack += [part[len(part) // 2 :], part[: len(part) // 2]]
+        else:
+            yield part, lo, _distances(v[part], v[lo:hi])
+
+
+def _beside(v, rows):
+    """The points next to each of ``rows`` in order, and their distances: what is near among them bounds what is nearest of all."""
+    import numpy as np
+
+    near = np.clip(rows[:, None] + np.arange(-NEXT, NEXT + 1)[None, :], 0, len(v) - 1)
+    near.sort(axis=1)
+    again = np.concatenate([np.zeros((len(rows), 1), dtype=bool), near[:, 1:] == near[:, :-1]], axis=1)
+    d = np.sqrt(((v[rows][:, None, :] - v[near]) ** 2).sum(axis=2))
+    return near, np.where(again, np.inf, d)
+
+
+def _nth(d, n, others: int):
+    """Distance to the ``others``-th other point in each row; points at ``n`` copies, infinite where there are not so many."""
+    import numpy as np
+
+    k = min(others + 1, d.shape[1])
+    order = np.argpartition(d, k - 1, axis=1)[:, :k]
+    least = np.take_along_axis(d, order, axis=1)
+    first = np.argsort(least, axis=1, kind="stable")
+    least, order = np.take_along_axis(least, first, axis=1), np.take_along_axis(order, first, axis=1)
+    # copies of a point are others at distance 0; the point itself is not
+    counted = np.cumsum(np.take_along_axis(np.broadcast_to(n, d.shape), order, axis=1), axis=1) - 1
+    at = (counted >= others).argmax(axis=1)
+    return np.where(counted[:, -1] >= others, least[np.arange(len(d)), at], np.inf)
 
 
 def _core(min_samples: int, reach: float):
@@ -90,58 +151,86 @@ def _core(min_samples: int, reach: float):
     def run(table):
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        v, n, own, ids = _matrix(table.column("v")), table.column("n").to_numpy(), table.column("own").to_numpy(zero_copy_only=False), table.column("id").to_numpy()
-        mine, out = np.flatnonzero(own), []
+        if not pc.any(table.column("own")).as_py():
+            return pa.table({"id": pa.array([], pa.int64()), "core": pa.array([], pa.float64())})
+        v = _matrix(table.column("v"))
+        order, along = _along(v)
+        v, n, own, ids = v[order], table.column("n").to_numpy()[order], table.column("own").to_numpy(zero_copy_only=False)[order], table.column("id").to_numpy()[order]
+        mine, core, bound = np.flatnonzero(own), np.full(len(ids), np.inf), np.full(len(ids), reach)
         for part in range(0, len(mine), ROWS_AT_ONCE):
             rows = mine[part : part + ROWS_AT_ONCE]
-            d = _distances(v[rows], v)
-            order = np.argsort(d, axis=1, kind="stable")
-            # copies of a point are others at distance 0; the point itself is not
-            counted = np.cumsum(np.take_along_axis(np.broadcast_to(n, d.shape), order, axis=1), axis=1) - 1
-            first = (counted >= min_samples).argmax(axis=1)
-            enough = counted[:, -1] >= min_samples
-            out.append(np.where(enough, np.take_along_axis(d, order, axis=1)[np.arange(len(rows)), first], np.inf))
-        core = np.concatenate(out) if out else np.zeros(0)
-        near = core <= reach
-        return pa.table({"id": pa.array(ids[mine][near]), "core": pa.array(core[near])})
+            near, d = _beside(v, rows)
+            bound[rows] = np.minimum(reach, _nth(d, n[near], min_samples))
+        for rows, lo, d in _blocks(v, along, mine, bound):
+            core[rows] = _nth(d, n[lo : lo + d.shape[1]], min_samples)
+        mine = mine[core[mine] <= reach]
+        return pa.table({"id": pa.array(ids[mine]), "core": pa.array(core[mine])})
 
     return run
 
 
-def _local_forest(reach: float):
-    """Minimum spanning forest among the points of a cell and those around it (Prim), over mutual reachability within reach."""
+def _components(v, along, reach: float):
+    """Numbers of the sets of points that steps of up to ``reach`` connect. A point once reached is met by no other."""
+    import numpy as np
+
+    of, left, count = np.full(len(v), -1), np.arange(len(v)), 0
+    while len(left):
+        edge, left = [left[:1]], left[1:]
+        of[edge[0]] = count
+        while edge and len(left):
+            rows = edge.pop()
+            lo, hi = _span(along, rows, reach, along[left])
+            if lo == hi:
+                continue
+            size = max(1, min(ROWS_AT_ONCE, PAIRS_AT_ONCE // (hi - lo)))
+            if len(rows) > size:
+                edge += [rows[size:]]
+                rows = rows[:size]
+            ahead = left[lo:hi]
+            met = (_distances(v[rows], v[ahead]) <= reach).any(axis=0)
+            if met.any():
+                of[ahead[met]] = count
+                edge.append(ahead[met])
+                left = np.concatenate([left[:lo], ahead[~met], left[hi:]])
+        count += 1
+    return of, count
+
+
+def _local_links(reach: float):
+    """Points of a cell and those around it that are connected within reach to one of the cell, with the least id of what is connected; for those of the cell, their closest link (mutual reachability)."""
 
     def run(table):
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not pc.any(table.column("own")).as_py():
+            return pa.table({"id": pa.array([], pa.int64()), "label": pa.array([], pa.int64()), "own": pa.array([], pa.bool_()), "w": pa.array([], pa.float64())})
+        v = _matrix(table.column("v"))
+        order, along = _along(v)
+        v, ids, core, own = v[order], table.column("id").to_numpy()[order], table.column("core").to_numpy()[order], table.column("own").to_numpy(zero_copy_only=False)[order]
+        mine, bound, closest = np.flatnonzero(own), np.full(len(ids), reach), np.full(len(ids), np.inf)
 
-        order = np.argsort(table.column("id").to_numpy(), kind="stable")
-        ids, v, core = table.column("id").to_numpy()[order], _matrix(table.column("v"))[order], table.column("core").to_numpy()[order]
-        left = np.ones(len(ids), dtype=bool)
-        a, b, w = [], [], []
-        best, via = np.full(len(ids), np.inf), np.zeros(len(ids), dtype=np.int64)
-        while left.any():
-            cost = np.where(left, best, np.inf)
-            k = int(cost.argmin())
-            if not np.isfinite(cost[k]):  # no tree reaches another point: a new one begins
-                k = int(np.flatnonzero(left)[0])
-            else:
-                # of equal costs the edge with the least ids, as in the rounds over all edges
-                same = np.flatnonzero(cost == cost[k])
-                ends = [(min(ids[i], ids[via[i]]), max(ids[i], ids[via[i]]), i) for i in same.tolist()]
-                k = min(ends)[2]
-                a.append(ids[k])
-                b.append(ids[via[k]])
-                w.append(best[k])
-            left[k] = False
-            d = np.maximum(np.maximum(np.sqrt(((v - v[k]) ** 2).sum(axis=1)), core), core[k])
-            pair = np.stack([np.minimum(ids, ids[k]), np.maximum(ids, ids[k])])
-            held = np.stack([np.minimum(ids, ids[via]), np.maximum(ids, ids[via])])
-            less = (pair[0] < held[0]) | ((pair[0] == held[0]) & (pair[1] < held[1]))
-            better = left & (d <= reach) & ((d < best) | ((d == best) & less))
-            best[better], via[better] = d[better], k
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "w": pa.array(w, pa.float64())})
+        def link(d, rows, others):
+            w = np.maximum(np.maximum(d, core[others]), core[rows][:, None])
+            return np.where((others == rows[:, None]) | (d > reach), np.inf, w).min(axis=1)
+
+        for part in range(0, len(mine), ROWS_AT_ONCE):
+            rows = mine[part : part + ROWS_AT_ONCE]
+            near, d = _beside(v, rows)
+            bound[rows] = np.minimum(reach, link(d, rows, near))
+        for rows, lo, d in _blocks(v, along, mine, bound):
+            closest[rows] = link(d, rows, np.arange(lo, lo + d.shape[1])[None, :])
+        of, count = _components(v, along, reach)
+        least = np.full(count, np.iinfo(np.int64).max)
+        np.minimum.at(least, of, ids)
+        here = np.zeros(count, dtype=bool)
+        here[of[own]] = True
+        kept = np.flatnonzero(here[of])
+        known = own[kept] & np.isfinite(closest[kept])
+        return pa.table({"id": pa.array(ids[kept]), "label": pa.array(least[of[kept]]), "own": pa.array(own[kept]), "w": pa.array(closest[kept], mask=~known)})
 
     return run
 
@@ -157,9 +246,10 @@ def density_clusters(points: DataFrame, id_col: str, vector: str, reach: float,
 
     Equal vectors are folded first. Points meet in cells of side ``reach`` over
     the components ``over``, with the points of the cells around; distance in
-    some components is never more than in all, so no near pair is missed. A cell
-    sends on its own minimum spanning forest and not its pairs: what is in no
-    forest of a part of the points is in that of no whole. Null vectors are left out.
+    some components is never more than in all, so no near pair is missed. Of a
+    point's links a cell finds the closest, looking no further than what is
+    next to it in order allows, and of what is connected the least id; these
+    ids are then connected. Null vectors are left out.
     """
     written = Written(points.sparkSession, "density")
     rows = written.cut(points.select(F.col(id_col).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("v")).where("v is not null and key is not null"))
@@ -167,10 +257,12 @@ def density_clusters(points: DataFrame, id_col: str, vector: str, reach: float,
     over = list(over)
     core = _neighbourhoods(folded, over, reach).groupBy("cell").applyInArrow(_core(min_samples, reach), "id long, core double")
     dense = written.cut(folded.join(core, "id"))
-    edges = _neighbourhoods(dense, over, reach).groupBy("cell").applyInArrow(_local_forest(reach), "a long, b long, w double")
-    forest, labels = spanning_forest(edges, written)
-    nearest = forest.select(F.explode(F.array("a", "b")).alias("id"), "w").groupBy("id").agg(F.min("w").alias("own"))
-    placed = dense.select("id", "n", "core").join(labels, "id", "left").join(nearest, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    linked = _neighbourhoods(dense, over, reach).groupBy("cell").applyInArrow(_local_links(reach), "id long, label long, own boolean, w double")
+    # a point's label in its own cell, and those that the cells around have for it: at most as many as there are cells around
+    local = written.cut(linked.groupBy("id").agg(F.max(F.when(F.col("own"), F.col("label"))).alias("part"), F.max("w").alias("own"), F.collect_set("label").alias("seen")))
+    edges = local.select(F.col("part").alias("a"), F.explode("seen").alias("b"), F.lit(0.0).alias("w")).where("a != b").distinct()
+    _, labels = spanning_forest(edges, written)
+    placed = dense.select("id", "n", "core").join(local.select("id", "part", "own"), "id").join(labels.select(F.col("id").alias("part"), "label").hint("merge"), "part", "left").withColumn("label", F.coalesce("label", "part"))
     placed = placed.withColumn("own", F.when(F.col("n") > 1, F.greatest(F.lit(0.0), F.least(F.col("core"), F.coalesce("own", "core")))).otherwise(F.coalesce("own", "core")))
     placed = written.cut(placed)
     sizes = placed.groupBy("label").agg(F.sum("n").alias("size"), F.min("own").alias("closest")).where(F.col("size") >= min_size)
