@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import explode_grains
+from tidemark.functions.times import bucket
 
 
 def share(part: Column, whole: Column) -> Column:
@@ -22,9 +22,16 @@ def distinct_where(test: Column, column: str) -> Column:
 
 
 def edges(df: DataFrame, source: str, target: str, ts: str, amount: str, grains=("day", "week", "month", "year"), extra_keys=(), flags=(), currency: str | None = None) -> DataFrame:
-    """Edge table: a row per (from, to, bucket) with counts, amounts and the active window, all granularities in one scan."""
-    rows = explode_grains(df, ts, grains)
-    out = rows.groupBy(*extra_keys, "bucket_granularity", "bucket_start", F.col(source).alias(f"from_{source}"), F.col(target).alias(f"to_{target}")).agg(
+    """Edge table: a row per (from, to, bucket) with counts, amounts and the active window, all granularities in one scan.
+
+    Rows are summed by the shortest bucket that the others are made of. A sum that
+    has a longer bucket to itself, as those next to it in time tell, is that
+    bucket's row as it is; only the others are summed again.
+    """
+    edge = [*extra_keys, f"from_{source}", f"to_{target}"]
+    rows = df.withColumn("_at", bucket(F.col(ts), "hour" if "hour" in grains else "day"))
+    sums = {"tx_count": F.sum, "total_amount": F.sum} | ({"currency_hint": F.max} if currency else {}) | {"first_event_ts": F.min, "last_event_ts": F.max} | {f"{f}_edge": F.max for f in flags}
+    short = rows.groupBy(*extra_keys, F.col(source).alias(f"from_{source}"), F.col(target).alias(f"to_{target}"), "_at").agg(
         F.count("*").alias("tx_count"),
         F.sum(F.coalesce(amount, F.lit(0.0))).alias("total_amount"),
         *([F.max(currency).alias("currency_hint")] if currency else []),
@@ -32,6 +39,14 @@ def edges(df: DataFrame, source: str, target: str, ts: str, amount: str, grains=
         F.max(ts).alias("last_event_ts"),
         *[F.max(f).alias(f"{f}_edge") for f in flags],
     )
+    near = Window.partitionBy(*edge).orderBy("_at")  # a row per short bucket
+    short = short.withColumns({"_before": F.lag("_at").over(near), "_behind": F.lead("_at").over(near)})
+    shared = lambda g: bucket(F.col("_at"), g).eqNullSafe(bucket(F.col("_before"), g)) | bucket(F.col("_at"), g).eqNullSafe(bucket(F.col("_behind"), g))
+    spots = F.array(*[F.struct(F.lit(g).alias("bucket_granularity"), bucket(F.col("_at"), g).alias("bucket_start"), shared(g).alias("_shared")) for g in grains])
+    names = [*extra_keys, "bucket_granularity", "bucket_start", *edge[len(extra_keys) :]]
+    placed = short.select(*edge, *sums, F.inline(spots))
+    again = placed.where("_shared").groupBy(*edge, "bucket_granularity", "bucket_start").agg(*[f(c).alias(c) for c, f in sums.items()])
+    out = placed.where("not _shared").select(*names, *sums).unionByName(again.select(*names, *sums))
     window = F.unix_timestamp("last_event_ts") - F.unix_timestamp("first_event_ts")
     return out.withColumn("active_window_sec", window).withColumn(
         "tx_per_day", F.when(F.col("active_window_sec") > 0, F.col("tx_count") / (F.col("active_window_sec") / 86400.0)).otherwise(F.col("tx_count").cast("double"))
