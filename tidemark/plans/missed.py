@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.graphs import density_clusters
+from tidemark.sources.written import Written
 
 
 @dataclass
@@ -115,7 +116,8 @@ def hidden_typologies(df: DataFrame, id_col: str, features: list[str], label: st
     scored = attribute(df.where(missed).select(id_col, *features), structure(model), features)
     names = F.array(*[F.lit(c) for c in features])
     strongest = F.array_position(F.transform("attribution", F.abs), F.array_max(F.transform("attribution", F.abs)))
-    scored = scored.withColumn("top_driver", F.element_at(names, strongest.cast("int"))).select(id_col, "margin", "top_driver", "attribution")
+    # written, as three jobs read it: none scores the rows again
+    scored = Written(df.sparkSession, "scored").cut(scored.withColumn("top_driver", F.element_at(names, strongest.cast("int"))).select(id_col, "margin", "top_driver", "attribution"))
     clusters = density_clusters(standardized(scored, "attribution", len(features)), id_col, "attribution", reach, min_samples, min_size)
     typology = F.when(F.col("cluster") >= 0, F.concat(F.lit("hidden_typology_"), "cluster")).otherwise("noise")
     return scored.drop("attribution").join(clusters, id_col).withColumn("typology", typology)
