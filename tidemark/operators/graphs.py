@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.sources.written import Written
@@ -235,25 +235,27 @@ def _local_links(reach: float):
     return run
 
 
-def density_clusters(points: DataFrame, id_col: str, vector: str, reach: float, min_samples: int = 2, min_size: int = 3, over: tuple[int, ...] = (0, 1)) -> DataFrame:
-    """``id, cluster, confidence``: clusters of dense points, ``-1`` for noise.
+def density_clusters(points: DataFrame, id_col: str, vector: str, reach: float, min_samples: int = 2, min_size: int = 3, over: tuple[int, ...] = (0, 1), keep: tuple[str, ...] = ()) -> DataFrame:
+    """``id, cluster, confidence`` and the columns ``keep``, a row for each point: clusters of dense points, ``-1`` for noise.
 
     The core distance of a point is that to its ``min_samples``-th other point.
     Two points are linked at the greatest of their distance and core distances;
     points connected by links within ``reach`` are a cluster, named by its
-    smallest id, if there are ``min_size`` of them. The confidence is the
+    smallest id, if there are ``min_size`` of them. Of clusters with the same
+    smallest id, as repeated ids allow, the one with the least vector has it for
+    a name; the others are numbered on from the greatest id. The confidence is the
     cluster's closest link as a share of the point's own closest one.
 
-    Equal vectors are folded first. Points meet in cells of side ``reach`` over
+    Equal vectors are folded first and numbered; ids may be repeated. Points meet in cells of side ``reach`` over
     the components ``over``, with the points of the cells around; distance in
     some components is never more than in all, so no near pair is missed. Of a
     point's links a cell finds the closest, looking no further than what is
-    next to it in order allows, and of what is connected the least id; these
-    ids are then connected. Null vectors are left out.
+    next to it in order allows, and of what is connected the least number;
+    these are then connected. Null vectors and ids are left out.
     """
     written = Written(points.sparkSession, "density")
-    rows = written.cut(points.select(F.col(id_col).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("v")).where("v is not null and key is not null"))
-    folded = written.cut(rows.groupBy("v").agg(F.min("key").alias("id"), F.count("*").alias("n")))
+    rows = written.cut(points.select(F.col(id_col).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("v"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)]).where("v is not null and key is not null"))
+    folded = written.cut(rows.groupBy("v").agg(F.min("key").alias("least"), F.max("key").alias("most"), F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id()))
     over = list(over)
     core = _neighbourhoods(folded, over, reach).groupBy("cell").applyInArrow(_core(min_samples, reach), "id long, core double")
     dense = written.cut(folded.join(core, "id"))
@@ -262,11 +264,15 @@ def density_clusters(points: DataFrame, id_col: str, vector: str, reach: float,
     local = written.cut(linked.groupBy("id").agg(F.max(F.when(F.col("own"), F.col("label"))).alias("part"), F.max("w").alias("own"), F.collect_set("label").alias("seen")))
     edges = local.select(F.col("part").alias("a"), F.explode("seen").alias("b"), F.lit(0.0).alias("w")).where("a != b").distinct()
     _, labels = spanning_forest(edges, written)
-    placed = dense.select("id", "n", "core").join(local.select("id", "part", "own"), "id").join(labels.select(F.col("id").alias("part"), "label").hint("merge"), "part", "left").withColumn("label", F.coalesce("label", "part"))
+    placed = dense.select("id", "v", "least", "n", "core").join(local.select("id", "part", "own"), "id").join(labels.select(F.col("id").alias("part"), "label").hint("merge"), "part", "left").withColumn("label", F.coalesce("label", "part"))
     placed = placed.withColumn("own", F.when(F.col("n") > 1, F.greatest(F.lit(0.0), F.least(F.col("core"), F.coalesce("own", "core")))).otherwise(F.coalesce("own", "core")))
     placed = written.cut(placed)
-    sizes = placed.groupBy("label").agg(F.sum("n").alias("size"), F.min("own").alias("closest")).where(F.col("size") >= min_size)
-    found = placed.join(sizes.hint("merge"), "label").select("id", F.col("label").alias("cluster"), F.when(F.col("own") == 0, 1.0).otherwise(F.col("closest") / F.col("own")).alias("confidence"))
+    sizes = placed.groupBy("label").agg(F.sum("n").alias("size"), F.min("own").alias("closest"), F.min("least").alias("cluster"), F.min("v").alias("first")).where(F.col("size") >= min_size)
+    sizes = written.cut(sizes.withColumn("nth", F.row_number().over(Window.partitionBy("cluster").orderBy("first"))))
+    if sizes.where("nth > 1").limit(1).count():
+        named = F.lit(folded.agg(F.max("most")).first()[0]) + F.row_number().over(Window.orderBy("cluster", "first"))
+        sizes = sizes.where("nth = 1").unionByName(sizes.where("nth > 1").withColumn("cluster", named))
+    found = placed.join(sizes.hint("merge"), "label").select("id", "cluster", F.when(F.col("own") == 0, 1.0).otherwise(F.col("closest") / F.col("own")).alias("confidence"))
     of_vector = folded.join(found, "id", "left").select(F.col("v").alias("u"), "cluster", "confidence")
     out = rows.join(of_vector.hint("merge"), F.col("v") == F.col("u"))
-    return out.select(F.col("key").alias(id_col), F.coalesce("cluster", F.lit(-1)).alias("cluster"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"))
+    return out.select(F.col("key").alias(id_col), F.coalesce("cluster", F.lit(-1)).alias("cluster"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)])
