@@ -42,11 +42,16 @@ def edges(df: DataFrame, source: str, target: str, ts: str, amount: str, grains=
     near = Window.partitionBy(*edge).orderBy("_at")  # a row per short bucket
     short = short.withColumns({"_before": F.lag("_at").over(near), "_behind": F.lead("_at").over(near)})
     shared = lambda g: bucket(F.col("_at"), g).eqNullSafe(bucket(F.col("_before"), g)) | bucket(F.col("_at"), g).eqNullSafe(bucket(F.col("_behind"), g))
-    spots = F.array(*[F.struct(F.lit(g).alias("bucket_granularity"), bucket(F.col("_at"), g).alias("bucket_start"), shared(g).alias("_shared")) for g in grains])
+    # a row for each longer bucket that others share, and one for all that it has to itself, whose bits are its key: one aggregate sees both, and df is read once
+    spot = lambda g, start, own: F.struct(g.cast("string").alias("_grain"), start.alias("_start"), own.cast("int").alias("_own"))
+    own = sum((F.when(shared(g), 0).otherwise(1 << i) for i, g in enumerate(grains)), F.lit(0))
+    spots = [F.when(own > 0, spot(F.lit(None), F.col("_at"), own)), *[F.when(shared(g), spot(F.lit(g), bucket(F.col("_at"), g), F.lit(0))) for g in grains]]
+    placed = short.select(*edge, *sums, F.inline(F.array(*spots))).where("_own is not null")
+    summed = placed.groupBy(*edge[::-1], "_start", "_grain", "_own").agg(*[f(c).alias(c) for c, f in sums.items()])
+    name = lambda g, start: F.struct(g.alias("bucket_granularity"), start.alias("bucket_start"))
+    each = [F.when(F.col("_own") == 0, name(F.col("_grain"), F.col("_start"))), *[F.when(F.col("_own").bitwiseAND(1 << i) > 0, name(F.lit(g), bucket(F.col("_start"), g))) for i, g in enumerate(grains)]]
     names = [*extra_keys, "bucket_granularity", "bucket_start", *edge[len(extra_keys) :]]
-    placed = short.select(*edge, *sums, F.inline(spots))
-    again = placed.where("_shared").groupBy(*edge, "bucket_granularity", "bucket_start").agg(*[f(c).alias(c) for c, f in sums.items()])
-    out = placed.where("not _shared").select(*names, *sums).unionByName(again.select(*names, *sums))
+    out = summed.select(*edge, *sums, F.inline(F.array(*each))).where("bucket_granularity is not null").select(*names, *sums)
     window = F.unix_timestamp("last_event_ts") - F.unix_timestamp("first_event_ts")
     return out.withColumn("active_window_sec", window).withColumn(
         "tx_per_day", F.when(F.col("active_window_sec") > 0, F.col("tx_count") / (F.col("active_window_sec") / 86400.0)).otherwise(F.col("tx_count").cast("double"))
